@@ -5,6 +5,8 @@ Every top-k has a unique last sort column, so its rows do not depend on the part
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -236,10 +238,14 @@ def recency_values(mart_account: DataFrame, latest_only: bool = False) -> DataFr
     return _snapshots(mart_account, latest_only).select(F.col("recency_days").alias("value")).orderBy("value")
 
 
-def histogram(values: DataFrame, width, column: str = "value") -> DataFrame:
-    """Counts per equal-width bucket, computed on the cluster instead of in the charting client."""
-    bucket = (F.floor(F.col(column) / F.lit(width)) * F.lit(width)).alias("bucket")
-    return values.groupBy(bucket).agg(_count("values")).orderBy("bucket")
+def histogram(values: DataFrame, width: str, column: str = "value") -> DataFrame:
+    """Counts per equal-width bucket, computed on the cluster instead of in the charting client.
+
+    ``width`` is decimal text: bucket edges are exact, so 0.7 is not 0.7000000000000001.
+    """
+    step = F.lit(Decimal(width))
+    bucket = (F.floor(F.col(column).cast("decimal(18,4)") / step) * step).cast("decimal(18,4)")
+    return values.groupBy(bucket.alias("bucket")).agg(_count("values")).orderBy("bucket")
 
 
 # --- inventory -----------------------------------------------------------------------------------------------

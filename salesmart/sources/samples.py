@@ -21,8 +21,8 @@ def _item(props: str = "props"):
     return F.get_json_object(props, "$.k").cast("bigint")
 
 
-def sales_from_events(events: DataFrame) -> DataFrame:
-    """The raw sales view of an ``events`` frame, batch or stream."""
+def sales_from_events(events: DataFrame, *keep: str) -> DataFrame:
+    """The raw sales view of an ``events`` frame, batch or stream; ``keep`` passes further columns through."""
     eid = F.col("event_id")
     return events.select(
         (eid - F.when(eid % 10 == 9, 1).otherwise(0)).cast("string").alias("sale_id"),
@@ -33,6 +33,7 @@ def sales_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("sale_date"),
         eid.alias("arrival_seq"),
         "event_type",
+        *keep,
     )
 
 
@@ -81,3 +82,22 @@ def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
         F.col("o_orderdate").alias("sale_date"),
     )
+
+
+def line_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as sales: a larger fact whose product name is brand and type, so that baskets overlap."""
+    lines, orders, parts = (table(spark, sf_dir, name) for name in ("lineitem", "orders", "part"))
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .select(
+            F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("sale_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("l_suppkey").alias("store_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.concat("p_brand", F.lit(" "), "p_type").alias("product_name"),
+            F.col("p_type").alias("category"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("amount"),
+            F.col("o_orderdate").alias("sale_date"),
+        )
+    )
