@@ -45,11 +45,14 @@ def item_support(basket: DataFrame) -> DataFrame:
     return basket.groupBy("product_name").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def number_items(items: DataFrame, key: str, name: str = "item") -> DataFrame:
-    """Consecutive numbers from 0 in order of (hash bucket, key): a column index for the Gram matrix.
+def number_items(items: DataFrame, key: str, name: str = "item", few: bool = False) -> DataFrame:
+    """Consecutive numbers from 0: a column index for the Gram matrix.
 
-    Numbered inside hash buckets with offsets, so no task sorts the whole item list.
+    Numbered inside hash buckets with offsets, so no task sorts the whole item list. ``few`` says that the
+    caller has counted the items and found them few: then one sort by ``key`` is enough.
     """
+    if few:
+        return items.withColumn(name, (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
     bucketed = items.withColumn("_bucket", F.pmod(F.hash(key), F.lit(256)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,15 +124,19 @@ def rules_from_pairs(pairs: DataFrame, n_baskets: int, min_confidence: str = MIN
 def association_rules(
     sales: DataFrame, min_support: str | None = None, min_confidence: str = MIN_CONFIDENCE
 ) -> DataFrame:
-    """Rules product → product. Without ``min_support`` the threshold is 1 % of all customers, at least ten."""
-    basket = materialize(customer_basket(sales))
-    n_baskets = basket.agg(F.count_distinct("customer_id")).first()[0]
+    """Rules product → product. Without ``min_support`` the threshold is 1 % of all customers, at least ten.
+
+    The facts are read once: their distinct (customer, product name) pairs give the customer count, which
+    includes buyers of unnamed products only, and the baskets, which do not.
+    """
+    bought = materialize(sales.select("customer_id", "product_name").distinct())
+    named = F.when(F.col("product_name").isNotNull(), F.col("customer_id"))
+    n_customers, n_baskets = bought.agg(F.count_distinct("customer_id"), F.count_distinct(named)).first()
     if min_support is None:
-        # All customers count here, also those who bought unnamed products only.
-        threshold = support_threshold(sales.agg(F.count_distinct("customer_id")).first()[0])
+        threshold = support_threshold(n_customers)
     else:
         threshold = support_threshold(n_baskets, min_support, 1)
-    return rules_from_pairs(pair_support(basket, threshold), n_baskets, min_confidence)
+    return rules_from_pairs(pair_support(customer_basket(bought), threshold), n_baskets, min_confidence)
 
 
 def top_rules(rules: DataFrame, n: int | None = None) -> DataFrame:

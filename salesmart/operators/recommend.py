@@ -61,11 +61,17 @@ def unbought_pairs(candidates: DataFrame, bought: DataFrame) -> DataFrame:
     return candidates.select(*pair).distinct().join(bought.select(*pair), pair, "left_anti")
 
 
-def product_names(sales: DataFrame) -> DataFrame:
-    """First name per product in order of customer, date and sale; NULL where that sale had no name."""
-    # Ordering by a struct and taking the name inside a struct keeps a NULL name of the first row.
-    first = F.min_by(F.struct("product_name"), F.struct("customer_id", "sale_date", "sale_id"))
-    return sales.groupBy("product_id").agg(first["product_name"].alias("product_name"))
+def product_names(sales: DataFrame, spend: DataFrame | None = None) -> DataFrame:
+    """First name per product in order of customer, date and sale; NULL where that sale had no name.
+
+    The first customer per product comes from a hash aggregation (of the smaller ``spend`` where given); only
+    that customer's rows go through the ordered aggregation, which would otherwise sort every sale.
+    """
+    first_buyer = (sales if spend is None else spend).groupBy("product_id").agg(F.min("customer_id").alias("customer_id"))
+    theirs = sales.join(first_buyer, ["product_id", "customer_id"])
+    # Taking the name inside a struct keeps a NULL name of the first row.
+    first = F.min_by(F.struct("product_name"), F.struct("sale_date", "sale_id"))
+    return theirs.groupBy("product_id").agg(first["product_name"].alias("product_name"))
 
 
 def top_per_customer(scores: DataFrame, n: int = TOP_N, score: str = "score") -> DataFrame:
@@ -286,17 +292,17 @@ def recommend(
     with a single customer or product there is nothing to recommend.
     """
     spend = materialize(user_item_spend(sales))
-    items = materialize(number_items(spend.select("product_id").distinct(), "product_id"))
-    n_items = items.count()
-    n_customers = spend.agg(F.count_distinct("customer_id")).first()[0]
+    n_items, n_customers = spend.agg(F.count_distinct("product_id"), F.count_distinct("customer_id")).first()
     k = min(factors, min(n_items, n_customers) - 1)
-    names = product_names(sales)
+    names = product_names(sales, spend)
     if k < 1:
         empty = spend.where(F.lit(False)).join(names, "product_id")
         return empty.select("customer_id", "product_id", "product_name", F.lit(0).cast(SCORE).alias("score"), F.lit(0).alias("rank"))
+    few = n_items <= driver_items
+    items = materialize(number_items(spend.select("product_id").distinct(), "product_id", few=few))
     cells = spend.join(items, "product_id").select("customer_id", "item", F.col("spend").cast("double").alias("spend"))
     rows = materialize(pack_rows(cells, "customer_id", "item", "spend"))
-    if n_items <= driver_items:
+    if few:
         catalogue = items.orderBy("item").toPandas()  # at most driver_items rows
         ids = catalogue["product_id"].to_numpy()
         scored = _score_rows(rows, _gram_factors(rows, n_items, k), ids, top_n)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.fast_track import fast_track_filter, fast_track_messages
-from salesmart.session import prepare
+from salesmart.session import materialize, prepare
 from salesmart.sources import lake, samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,9 +285,9 @@ def affinity_item_support(spark, sf_dir):
 
 @query
 def affinity_pair_support(spark, sf_dir):
-    sales = samples.line_sales(spark, sf_dir)
-    customers = sales.agg(F.count_distinct("customer_id")).first()[0]
-    return affinity.pair_support(affinity.customer_basket(sales), affinity.support_threshold(customers))
+    basket = materialize(affinity.customer_basket(samples.line_sales(spark, sf_dir)))
+    customers = basket.agg(F.count_distinct("customer_id")).first()[0]
+    return affinity.pair_support(basket, affinity.support_threshold(customers))
 
 
 def _rules(spark, sf_dir) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,28 +35,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the cluster's shared folder (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    A temporary folder is used only in local mode, where driver and executors are one process; on a
-    cluster a missing setting is an error, because a machine-local folder does not survive a lost executor.
+    A temporary folder stands in only in local mode, where driver and executors are one process; on a cluster a
+    missing setting is an error, because a machine-local folder does not survive a lost executor.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="salesmart-checkpoint-")
-    context.setCheckpointDir(shared)
+        folder = tempfile.mkdtemp(prefix="salesmart-checkpoint-")
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+    """Write ``df`` as parquet to the shared folder and continue from there.
 
-    Used where a result is read more than once or a loop would grow its lineage; unlike a cached or locally
-    checkpointed frame it is not lost with an executor.
+    Used where a result is read more than once or a loop would grow its lineage. Unlike a cached frame it is not
+    lost with an executor; unlike a row checkpoint it is compressed, read by column, and its size is known to the
+    join planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/salesmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
