@@ -46,31 +46,47 @@ def _emit(first: int, second: int, block: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_CELLS)
 
 
+def _dense(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, height: int) -> np.ndarray:
+    part = np.zeros((height, int(cols.max()) % BLOCK + 1))
+    part[rows, cols % BLOCK] = vals
+    return part
+
+
+def _chunk_products(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Products of every pair of column blocks of one chunk; two dense blocks exist at a time."""
+    owner = cols // BLOCK
+    blocks = [int(b) for b in np.unique(owner)]
+    for first in blocks:
+        mine = owner == first
+        # Only rows with a cell in the first block matter for its products.
+        used, left_rows = np.unique(rows[mine], return_inverse=True)
+        left = _dense(left_rows, cols[mine], vals[mine], len(used))
+        place = np.full(rows.max() + 1, -1)
+        place[used] = np.arange(len(used))
+        for second in blocks:
+            if second < first:
+                continue
+            if second == first:
+                yield first, second, left.T @ left
+                continue
+            theirs = (owner == second) & (place[rows] >= 0)
+            if theirs.any():
+                right = _dense(place[rows[theirs]], cols[theirs], vals[theirs], len(used))
+                yield first, second, left.T @ right
+
+
 def _block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for start in range(0, batch.num_rows, CHUNK):
             rows, cols, vals = unpack(batch.slice(start, CHUNK))
-            height = min(CHUNK, batch.num_rows - start)
-            owner = cols // BLOCK
-            dense = {}
-            for b in np.unique(owner):
-                mine = owner == b
-                width = int(cols[mine].max()) % BLOCK + 1
-                part = np.zeros((height, width))
-                part[rows[mine], cols[mine] % BLOCK] = vals[mine]
-                dense[int(b)] = part
-            for first in sorted(dense):
-                for second in sorted(dense):
-                    if second < first:
-                        continue
-                    product = dense[first].T @ dense[second]
-                    total = held.setdefault((first, second), np.zeros((BLOCK, BLOCK)))
-                    total[: product.shape[0], : product.shape[1]] += product
-                    if len(held) > HELD_BLOCKS:
-                        # Many blocks: hand the oldest sums to Spark's own (spilling) partial aggregation.
-                        key = next(iter(held))
-                        yield _emit(*key, held.pop(key))
+            for first, second, product in _chunk_products(rows, cols, vals):
+                total = held.setdefault((first, second), np.zeros((BLOCK, BLOCK)))
+                total[: product.shape[0], : product.shape[1]] += product
+                if len(held) > HELD_BLOCKS:
+                    # Many blocks: hand the oldest sums to Spark's own (spilling) partial aggregation.
+                    key = next(iter(held))
+                    yield _emit(*key, held.pop(key))
     for key, total in held.items():
         yield _emit(*key, total)
 

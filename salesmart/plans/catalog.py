@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.fast_track import fast_track_filter, fast_track_messages
-from salesmart.session import materialize, prepare
+from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
+from salesmart.sources.external import send_stream
+from salesmart.sources.warehouse import Warehouse
+from salesmart.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -402,3 +406,72 @@ def _register_cards() -> None:
 
 
 _register_cards()
+
+
+# --- streams -------------------------------------------------------------------------------------------------
+# Each runs the stream over the events file until it is consumed and returns what the sink holds.
+
+
+def _event_stream(spark, sf_dir) -> DataFrame:
+    schema = samples.table(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return samples.sales_from_events(files)
+
+
+def _sink(spark) -> str:
+    return f"{run_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _drained(spark, stream: DataFrame) -> DataFrame:
+    folder = _sink(spark)
+    send_stream(stream, f"{folder}/checkpoint", sink="parquet", path=f"{folder}/rows").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+def _stream_warehouse(spark, sf_dir) -> Warehouse:
+    wh = Warehouse(spark, _sink(spark))
+    wh.save_version("products", "0", samples.products(spark, sf_dir))
+    wh.save_version("inventory", "0", samples.inventory(spark, sf_dir))
+    return wh
+
+
+@query
+def stream_silver(spark, sf_dir):
+    """Arriving files cleaned per ingest hour and enriched."""
+    wh = _stream_warehouse(spark, sf_dir)
+    ingested = cut("hour", F.col("sale_date")) + F.expr("INTERVAL 1 HOUR")
+    source = lake.with_partitions(_event_stream(spark, sf_dir), ingested)
+    arrival = source.withColumns({"_file": F.lit(""), "_row": F.col("arrival_seq")})
+    flows.stream_silver(wh, arrival, f"{wh.root}/checkpoint", CARDS_AS_OF).awaitTermination()
+    return wh.read("silver.sales_enriched").drop("ingest", "processed_at")
+
+
+@query
+def stream_fast_track(spark, sf_dir):
+    return _drained(spark, flows.fast_track_stream(_event_stream(spark, sf_dir), above=200))
+
+
+@query
+def stream_sales_once(spark, sf_dir):
+    return _drained(spark, flows.once_per_sale(_event_stream(spark, sf_dir)).select("sale_id"))
+
+
+@query
+def stream_hourly_revenue(spark, sf_dir):
+    """Hours that the watermark, one hour behind the newest event, has closed."""
+    enriched = silver.enrich(_event_stream(spark, sf_dir), samples.products(spark, sf_dir))
+    return _drained(spark, flows.hourly_revenue(enriched))
+
+
+@query
+def stream_stock_level(spark, sf_dir):
+    wh = _stream_warehouse(spark, sf_dir)
+    flows.stream_stock(wh, _event_stream(spark, sf_dir), f"{wh.root}/checkpoint").awaitTermination()
+    return wh.latest_or_empty("inventory").select("product_id", "stock_qty", "restock_threshold")
+
+
+@query
+def stream_rfm_totals(spark, sf_dir):
+    folder, stream = _sink(spark), _event_stream(spark, sf_dir)
+    flows.stream_rfm(stream.where("customer_id is not null"), f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    return flows.rfm_totals(spark, f"{folder}/rows")

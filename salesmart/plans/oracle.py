@@ -390,6 +390,36 @@ _SQL = {
     "panel_top_recommended": """
         SELECT product_name AS metric, COUNT(*) AS value FROM recommendations WHERE "rank" = 1
         GROUP BY product_name ORDER BY value DESC, metric NULLS LAST LIMIT 10""",
+    # streams
+    "stream_silver": """
+        SELECT d.sale_id, d.customer_id, d.store_id, d.product_id, p.product_name, p.category, d.amount, d.sale_date,
+               CAST(EXTRACT(HOUR FROM d.sale_date) AS INT) AS sale_hour, CAST(d.sale_date AS DATE) AS sale_date_only
+        FROM (SELECT *, row_number() OVER (PARTITION BY sale_id, date_trunc('hour', sale_date) ORDER BY arrival_seq) AS rn
+              FROM raw_sales WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL) d
+        LEFT JOIN products p ON p.product_id = d.product_id
+        WHERE d.rn = 1 AND d.amount > 0""",
+    "stream_fast_track": """
+        SELECT sale_id AS "key",
+               '{"sale_id":"' || sale_id || '","customer_id":' || COALESCE(CAST(customer_id AS VARCHAR), 'null')
+               || ',"store_id":' || store_id || ',"product_id":' || product_id
+               || ',"amount":' || CAST(amount AS VARCHAR)
+               || ',"sale_date":"' || strftime(sale_date, '%Y-%m-%d %H:%M:%S.%f') || '"}' AS "value"
+        FROM raw_sales WHERE amount > 200""",
+    "stream_sales_once": """
+        SELECT DISTINCT sale_id FROM raw_sales
+        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL""",
+    "stream_hourly_revenue": f"""
+        SELECT * FROM (
+            SELECT store_id, COALESCE(category, 'Unknown') AS category, date_trunc('hour', sale_date) AS sale_hour,
+                   {_MONEY.format('SUM(amount)')} AS total_revenue, COUNT(*) AS order_count,
+                   {_mean('SUM(amount)', 'COUNT(*)', 2, 10)} AS avg_order_value
+            FROM raw_sales r LEFT JOIN products p ON p.product_id = r.product_id GROUP BY 1, 2, 3)
+        WHERE sale_hour + INTERVAL 1 HOUR <= (SELECT MAX(sale_date) FROM raw_sales) - INTERVAL 1 HOUR""",
+    "stream_stock_level": """
+        SELECT i.product_id, CAST(greatest(i.stock_qty - COALESCE(s.n, 0), 0) AS INT) AS stock_qty, i.restock_threshold
+        FROM inventory i LEFT JOIN (SELECT product_id, COUNT(*) AS n FROM raw_sales GROUP BY product_id) s
+          ON s.product_id = i.product_id""",
+    "stream_rfm_totals": _base("raw_sales", "customer_id IS NOT NULL"),
 }
 
 

@@ -51,6 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; delete it once the application has ended."""
+    return f"{shared_folder(spark).rstrip('/')}/salesmart-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and continue from there.
 
@@ -58,6 +63,6 @@ def materialize(df: DataFrame) -> DataFrame:
     lost with an executor; unlike a row checkpoint it is compressed, read by column, and its size is known to the
     join planner.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/salesmart-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -57,15 +57,18 @@ def stream_silver(wh: Warehouse, source: DataFrame, checkpoint: str, processed_a
     return _run(source, checkpoint, each)
 
 
-def deduplicated(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """One row per sale id across batches, for repeats that arrive within ``lateness`` of each other.
+def once_per_sale(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """One complete row per sale id across batches, for repeats that arrive within ``lateness`` of each other.
 
-    Required columns first, then repeats, then amounts: a first row with a bad amount still takes its repeats
-    with it. State is dropped once the watermark has passed.
+    State is dropped once the watermark has passed.
     """
     timed = quality.drop_incomplete(stream).withColumn("event_time", F.col("sale_date").cast("timestamp"))
-    once = timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["sale_id"])
-    return quality.keep_positive(once)
+    return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["sale_id"])
+
+
+def deduplicated(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """The same with amounts checked afterwards: a first row with a bad amount still takes its repeats along."""
+    return quality.keep_positive(once_per_sale(stream, lateness))
 
 
 # --- messages ------------------------------------------------------------------------------------------------
