@@ -41,7 +41,7 @@ def elapsed_days(now: Column, then: Column) -> Column:
 
 def exact_mean(total: Column, count: Column, scale: int) -> Column:
     """``ROUND(AVG(x), scale)`` of a decimal, half away from zero, without Spark's six-digit intermediate."""
-    return F.round(total.cast("decimal(38,12)") / count, scale)
+    return F.round(total.cast("decimal(38,12)") / F.nullif(count, F.lit(0)), scale)
 
 
 def mean_price(amount: str = "amount") -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.expressions import at, cut
-from salesmart.operators import affinity, cards, marts, quality, recommend, rfm, silver, stock, upsert
-from salesmart.operators.fast_track import fast_track_filter, fast_track_messages
+from salesmart.operators import affinity, cards, fast_track, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
 from salesmart.sources.external import send_stream
@@ -95,8 +94,8 @@ def silver_verify(spark, sf_dir):
 
 
 @query
-def fast_track_sales(spark, sf_dir):
-    return fast_track_filter(samples.raw_sales(spark, sf_dir)).select(
+def fast_track_filter(spark, sf_dir):
+    return fast_track.fast_track_filter(samples.raw_sales(spark, sf_dir)).select(
         "sale_id", "customer_id", "store_id", "product_id", "amount", "sale_date", "arrival_seq"
     )
 
@@ -104,7 +103,7 @@ def fast_track_sales(spark, sf_dir):
 @query
 def fast_track_json(spark, sf_dir):
     """Messages of the order lines above 50,000."""
-    return fast_track_messages(samples.line_sales(spark, sf_dir), above=50_000)
+    return fast_track.fast_track_messages(samples.line_sales(spark, sf_dir), above=50_000)
 
 
 # --- sales mart ----------------------------------------------------------------------------------------------

@@ -222,7 +222,7 @@ _SQL = {
     "silver_verify": """
         SELECT COUNT(*) AS total, COUNT(product_name) AS has_name, MIN(sale_date_only) AS from_date,
                MAX(sale_date_only) AS to_date FROM sales_enriched""",
-    "fast_track_sales": """
+    "fast_track_filter": """
         SELECT sale_id, customer_id, store_id, product_id, amount, sale_date, arrival_seq
         FROM raw_sales WHERE amount > 400""",
     "fast_track_json": """

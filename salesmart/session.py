@@ -14,6 +14,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lake files written by pandas carry nanosecond times; the lake reader turns them into timestamps.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Stream state (sale ids, open hours, customers) lives on disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -42,15 +42,15 @@ def hour_of(df: DataFrame, run_at: datetime | str) -> DataFrame:
     return df
 
 
-def scan_or_none(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame | None:
-    """Parquet scan with a fixed schema, or None while the path does not exist."""
-    reader = spark.read.schema(schema)
+def scan_or_none(spark: SparkSession, path: str, schema: T.StructType | None, **options: str) -> DataFrame | None:
+    """Parquet scan, or None while the path does not exist or (without a schema) holds no readable file."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     for key, value in options.items():
         reader = reader.option(key, value)
     try:
         return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
@@ -61,9 +61,29 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, **option
     return spark.createDataFrame([], schema) if scan is None else scan
 
 
+def conform_raw(scan: DataFrame) -> DataFrame:
+    """Raw columns in the canonical types, whatever wrote the files.
+
+    Sale ids may be numbers, amounts doubles and times nanoseconds since 1970; partition values that were
+    inferred as numbers get their zeros back.
+    """
+
+    def column(field: T.StructField):
+        source = F.col(field.name)
+        if field.name in _FORMATS:
+            text = F.lpad(source.cast("string"), len(_FORMATS[field.name]), "0")
+            return text.alias(field.name)
+        if field.name == "sale_date" and isinstance(scan.schema[field.name].dataType, T.LongType):
+            nanos = source - F.pmod(source, F.lit(1000))
+            source = F.timestamp_micros((nanos / 1000).cast("bigint"))
+        return source.cast(field.dataType).alias(field.name)
+
+    return scan.select(*[column(f) for f in LAKE_SALES.fields], *[c for c in ("_file", "_row") if c in scan.columns])
+
+
 def _ordered(spark: SparkSession, scan: DataFrame | None) -> DataFrame:
     if scan is not None:
-        return with_file_order(scan)
+        return conform_raw(with_file_order(scan))
     empty = spark.createDataFrame([], LAKE_SALES)
     return empty.withColumns({"_file": F.lit(""), "_row": F.lit(0).cast("bigint")})
 
@@ -94,13 +114,17 @@ def write_fast_track(df: DataFrame, root: str, received_at: datetime | str) -> N
 def read_hour(spark: SparkSession, root: str, run_at: datetime | str) -> DataFrame:
     """One hour's files with their row order; no files, no rows. Lists that hour's directory only."""
     path = "/".join([root, *[f"{part}={value}" for part, value in _values(run_at).items()]])
-    return _ordered(spark, scan_or_none(spark, path, LAKE_SALES, basePath=root))
+    return _ordered(spark, scan_or_none(spark, path, None, basePath=root))
 
 
 def read_lake(spark: SparkSession, root: str, skip_corrupt: bool = False) -> DataFrame:
-    """All lake files with their arrival order. ``skip_corrupt`` leaves out unreadable files, as a rebuild does."""
-    options = {"ignoreCorruptFiles": "true"} if skip_corrupt else {}
-    return _ordered(spark, scan_or_none(spark, root, LAKE_SALES, **options))
+    """All lake files with their arrival order. ``skip_corrupt`` leaves out unreadable files, as a rebuild does.
+
+    Skipping needs the schema of the readable files: Spark merges it from all footers in a distributed job, so
+    one broken file cannot hide the others, and files of conflicting types raise an error.
+    """
+    options = {"ignoreCorruptFiles": "true", "mergeSchema": "true"} if skip_corrupt else {}
+    return _ordered(spark, scan_or_none(spark, root, None, **options))
 
 
 def copy_hour(spark: SparkSession, raw_root: str, bronze_root: str, run_at: datetime | str) -> bool:

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.schemas import TABLES
+from salesmart.operators.upsert import duplicate_keys
+from salesmart.schemas import TABLES, UNIQUE_KEYS
 from salesmart.sources.lake import read_or_empty
 
 # Partition columns that are not part of a table's own schema.
@@ -123,6 +124,13 @@ class Warehouse:
         ]
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
 
+    # --- keys ---
+
+    def duplicates(self, name: str) -> DataFrame:
+        """Keys that break the table's unique key, with their row counts; empty on a sound table."""
+        rows = self.latest_or_empty(name) if self.versions(name) else self.read(name)
+        return duplicate_keys(rows, UNIQUE_KEYS[name])
+
     # --- names for SQL ---
 
     def register_views(self) -> None:

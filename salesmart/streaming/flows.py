@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.functions.expressions import exact_mean
@@ -18,15 +19,21 @@ from salesmart.operators import quality, silver, stock
 from salesmart.operators.fast_track import fast_track_messages
 from salesmart.schemas import LAKE_SALES, MONEY, PRICE
 from salesmart.session import materialize
+from salesmart.sources import lake
 from salesmart.sources.warehouse import Warehouse
 
 
-def read_lake_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """New lake files as a stream, with their arrival order inside a batch."""
-    reader = spark.readStream.schema(LAKE_SALES)
+def read_lake_stream(
+    spark: SparkSession, root: str, files_per_batch: int | None = None, schema: T.StructType = LAKE_SALES
+) -> DataFrame:
+    """New lake files as a stream, with their arrival order inside a batch.
+
+    ``schema`` is that of the files; it differs from the canonical one where another writer filled the lake.
+    """
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return quality.with_file_order(reader.parquet(root))
+    return lake.conform_raw(quality.with_file_order(reader.parquet(root)))
 
 
 def _run(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:

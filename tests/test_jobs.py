@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import affinity, cards, marts, quality, rfm, silver, stock
 from salesmart.plans import jobs
+from salesmart.schemas import UNIQUE_KEYS
 from salesmart.sources import external, lake, samples
 from salesmart.sources.warehouse import Warehouse
 
@@ -66,6 +67,25 @@ def test_lake_layout_and_rerun(spark, sf, tmp_path):
     assert lake.read_lake(spark, root).count() == df.count() + batch(spark, sf, other).count()
 
 
+def test_files_written_by_pandas_are_read(spark, tmp_path):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "sales" / "year=2024" / "month=01" / "day=05" / "hour=09"
+    folder.mkdir(parents=True)
+    frame = pd.DataFrame({
+        "sale_id": [123456, 123456, 777777], "customer_id": [1, 1, 2], "store_id": [1, 2, 3], "product_id": [5, 6, 7],
+        "amount": [50.05, 60.0, 70.1], "sale_date": pd.to_datetime(["2024-01-05 08:01:02.123456789"] * 3),
+    })
+    pq.write_table(pa.Table.from_pandas(frame), folder / "batch_2024-01-05T09.parquet", version="2.6", compression="snappy")
+    got = lake.read_hour(spark, str(tmp_path / "sales"), "2024-01-05 09:00:00")
+    first = quality.clean_batch(got).orderBy("sale_id").first()
+    assert (first.sale_id, first.store_id, str(first.amount), first.hour) == ("123456", 1, "50.05", "09")
+    assert first.sale_date == datetime(2024, 1, 5, 8, 1, 2, 123456)
+    assert got.count() == 3
+
+
 def test_missing_hour_is_empty_and_not_copied(spark, sf, tmp_path):
     wh = new_warehouse(spark, sf, tmp_path)
     assert lake.read_hour(spark, wh.raw, START).count() == 0
@@ -150,6 +170,8 @@ def test_marts_after_the_day(two_days, spark):
     )
     assert rows(two_days.latest("gold.mart_inventory")) == rows(inventory)
     assert two_days.latest("gold.mart_cf_recommendations").count() > 0
+    for name in UNIQUE_KEYS:
+        assert two_days.duplicates(name).isEmpty()
 
 
 def test_second_day_adds_to_the_first(two_days, spark, sf):
