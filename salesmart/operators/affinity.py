@@ -15,6 +15,7 @@ from salesmart.session import materialize
 MIN_CUSTOMERS = 10
 MIN_SUPPORT = "0.01"
 MIN_CONFIDENCE = "0.2"
+FEW_ITEMS = 65_536  # up to here one task numbers the items
 
 
 def customer_basket(sales: DataFrame) -> DataFrame:
@@ -77,7 +78,8 @@ def pair_support(basket: DataFrame, threshold: int) -> DataFrame:
     a support of one percent at most 100 × (mean basket size) products remain, however many customers there are.
     Pair counts come from the Gram matrix of the 0/1 baskets. A huge basket adds one row to its task's block product.
     """
-    items = materialize(number_items(item_support(basket).where(F.col("customers") >= threshold), "product_name"))
+    often = materialize(item_support(basket).where(F.col("customers") >= threshold))
+    items = number_items(often, "product_name", few=often.count() <= FEW_ITEMS)
     frequent = basket.join(items.select("product_name", "item"), "product_name").select("customer_id", "item")
     counts = gram(pack_rows(frequent, "customer_id", "item")).where((F.col("i") < F.col("j")) & (F.col("x") >= threshold))
     pairs = counts.select("i", "j", F.col("x").cast("bigint").alias("pair_customers"))
@@ -140,7 +142,8 @@ def association_rules(
         threshold = support_threshold(n_customers)
     else:
         threshold = support_threshold(n_baskets, min_support, 1)
-    return rules_from_pairs(pair_support(customer_basket(bought), threshold), n_baskets, min_confidence)
+    basket = bought.where(F.col("product_name").isNotNull())  # distinct already
+    return rules_from_pairs(pair_support(basket, threshold), n_baskets, min_confidence)
 
 
 def top_rules(rules: DataFrame, n: int | None = None) -> DataFrame:

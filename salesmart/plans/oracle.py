@@ -118,13 +118,11 @@ _VIEWS["sold"] = f"""
         SELECT product_id, COUNT(*) AS sold_qty FROM sales_enriched
         WHERE sale_date >= TIMESTAMP '{STOCK_FROM}' AND sale_date < TIMESTAMP '{STOCK_TO}' GROUP BY product_id"""
 _VIEWS["mart_inventory"] = """
-        SELECT p.product_id, p.product_name, p.category, i.stock_qty, i.restock_threshold,
-               CASE WHEN i.stock_qty = 0 THEN 'CRITICAL' WHEN i.stock_qty <= i.restock_threshold THEN 'LOW'
-                    ELSE 'OK' END AS status,
-               COUNT(a.alert_id) AS alert_count
-        FROM inventory i JOIN products p ON p.product_id = i.product_id
-        LEFT JOIN inventory_alerts a ON a.product_id = i.product_id AND a.resolved = FALSE
-        GROUP BY p.product_id, p.product_name, p.category, i.stock_qty, i.restock_threshold"""
+        SELECT product_id, product_name, category, stock_qty, restock_threshold,
+               CASE WHEN stock_qty > restock_threshold THEN 'OK' WHEN stock_qty > 0 THEN 'LOW' ELSE 'CRITICAL' END AS status,
+               (SELECT COUNT(*) FROM inventory_alerts a WHERE a.product_id = stocked.product_id AND NOT a.resolved)
+                   AS alert_count
+        FROM (SELECT * FROM inventory JOIN products USING (product_id)) stocked"""
 _VIEWS["basket"] = "SELECT DISTINCT customer_id, product_name FROM line_sales WHERE product_name IS NOT NULL"
 _VIEWS["items"] = "SELECT product_name, COUNT(*) AS customers FROM basket GROUP BY product_name"
 _VIEWS["pairs"] = """
