@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, line_dedup
+from salesmart.llm import decontaminate, exact_dedup, line_dedup, near_dedup
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op4_near_dedup": near_dedup.op4_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
@@ -20,6 +21,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def all_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.SQL,
+        "op4_near_dedup": near_dedup.SQL,
         "op5_decontaminate": decontaminate.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
     }

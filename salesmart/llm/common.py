@@ -52,12 +52,14 @@ def components(edges: DataFrame) -> DataFrame:
     )
     nodes = materialize(current.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     current = current.where("u <> v")
-    while True:
+    mark = lambda df: df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("bit_xor(hash(v, u))")).first()
+    seen = mark(current)
+    while seen[0]:
         both = current.union(current.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
             both.where("v > u").join(low, "u").where("v <> m")
-            .select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).distinct()
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         large = materialize(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -65,10 +67,10 @@ def components(edges: DataFrame) -> DataFrame:
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        small = materialize(small)
-        if small.exceptAll(current).isEmpty() and current.exceptAll(small).isEmpty():
+        current = materialize(small)
+        if (now := mark(current)) == seen:
             break
-        current = small
+        seen = now
     return nodes.join(current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v")), "node", "left").select(
         "node", F.coalesce("v", "node").alias("component")
     )
