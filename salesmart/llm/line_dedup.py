@@ -61,6 +61,16 @@ class LineIndex:
         self.counts, self.holders = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
         self.prints[slot], self.counts[slot], self.holders[slot] = b, counts, holders
 
+    def packed(self) -> bytes:
+        return pickle.dumps((self.levels, self.sizes, self.prints, self.counts, self.holders))
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> LineIndex:
+        index = cls.__new__(cls)
+        index.levels, index.sizes, index.prints, index.counts, index.holders = pickle.loads(blob)
+        index._rank()
+        return index
+
     @staticmethod
     def _cells(a: np.ndarray, b: np.ndarray, level: int, size: int) -> np.ndarray:
         salt = np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64)
@@ -123,7 +133,7 @@ def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _index_shard(group: pd.DataFrame) -> pd.DataFrame:
     index = LineIndex(*(group[c].to_numpy(np.int64) for c in ("first", "second", "n", "holder")))
-    return pd.DataFrame({"shard": [group["shard"].iloc[0]], "blob": [pickle.dumps(index)]})
+    return pd.DataFrame({"shard": [group["shard"].iloc[0]], "blob": [index.packed()]})
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +149,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lost = np.zeros(len(shards), bool)
         for start, end in zip(cuts, [*cuts[1:], len(shards)]):
             if is_blob[start]:
-                shard, index = shards[start], pickle.loads(blobs[int(start)].as_py())
+                shard, index = shards[start], LineIndex.unpacked(blobs[int(start)].as_py())
                 start += 1
             if shards[start:end].size and shard == shards[start]:
                 counts, holders = index.probe(first[start:end], second[start:end])
