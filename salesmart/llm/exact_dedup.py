@@ -54,9 +54,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         rows.select("recipe_key", F.explode("recipe").alias("chunk_id")).distinct()
         .join(ambiguous_chunks(docs), "chunk_id", "left_semi").select("recipe_key").distinct()
     )
-    rows = (
+    # Written out, so that this join can be split at a hot recipe and the next step combines before its shuffle.
+    rows = materialize(
         rows.join(unclear.withColumn("unclear", F.lit(True)), "recipe_key", "left")
-        .withColumn("exact", F.when(F.col("unclear"), F.col("text_sha256")).otherwise(""))
+        .withColumn("exact", F.when(F.col("unclear"), F.col("text_sha256")).otherwise("")).drop("unclear")
     )
     first = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("low"))).alias("first")
     groups = rows.groupBy("recipe_key", "recipe", "exact").agg(first, F.count("*").alias("group_size"))
