@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup
+from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, toxicity
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_near_dedup": near_dedup.op4_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_language": language.op7_language,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
