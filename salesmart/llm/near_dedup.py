@@ -3,15 +3,15 @@
 Equal shingle sets become one class. Classes meet in the buckets of banded signatures. A pair is compared by batches
 of signature positions and given up as soon as the posterior probability of a similarity over the threshold is below
 MISS; what survives is confirmed on the full shingle sets. First each class is compared with the smallest and the
-largest of its buckets. What that leaves apart inside a bucket is then compared in full, in cells of bounded size: only
-confirmed links that join two parts leave a cell, so a group of n copies gives n links, not n squared.
+largest of its buckets, then, where that left a bucket in parts, with some class of the largest part. What is still
+apart inside a bucket is compared in full, in cells of bounded size: only confirmed links that join two parts leave a
+cell, so a group of n copies gives n links, not n squared.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -85,7 +85,6 @@ def _signed(docs: DataFrame, words_each: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc long, n long, set_id binary, sig binary, bands array<long>")
 
 
-@lru_cache(None)
 def _least(percent: int) -> list[int]:
     """After each batch, the fewest matches with which a pair goes on: under a uniform prior, m matches in n give
     P(similarity >= t) = P(Binomial(n + 1, t) <= m)."""
@@ -99,11 +98,11 @@ def _least(percent: int) -> list[int]:
     return least
 
 
-def _survivors(one: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+def _survivors(one: np.ndarray, others: np.ndarray, fewest: list[int]) -> np.ndarray:
     """Which rows of ``others`` the sequential test keeps against ``one`` (a signature, or one for each row)."""
     alive = np.arange(len(others))
     matches = np.zeros(len(others), np.int64)
-    for k, least in enumerate(_least(percent)):
+    for k, least in enumerate(fewest):
         cut = slice(k * BATCH, (k + 1) * BATCH)
         mine = one[cut] if one.ndim == 1 else one[alive, cut]
         matches[alive] += (others[alive, cut] == mine).sum(axis=1)
@@ -126,11 +125,13 @@ def _first_links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words_e
     """Confirmed links (a, b) among ``pairs``: each b with the most similar a by signature, if the sets confirm it."""
     side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
 
+    fewest = _least(percent)
+
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = _matrix(batch.column("sig_a")), _matrix(batch.column("sig_b"))
-                kept = _survivors(a, b, percent)
+                kept = _survivors(a, b, fewest)
                 matches = (a[kept] == b[kept]).sum(axis=1).astype(np.int64)
                 left = batch.take(pa.array(kept))
                 yield pa.RecordBatch.from_arrays(
@@ -166,7 +167,7 @@ class _Parts:
         return x
 
 
-def _cell_links(cell: list[dict], words_each: int, percent: int) -> Iterator[tuple[int, int]]:
+def _cell_links(cell: list[dict], words_each: int, percent: int, fewest: list[int]) -> Iterator[tuple[int, int]]:
     """Confirmed links that join parts of one cell, of the two blocks' pairs or of one block with itself."""
     sigs = np.frombuffer(b"".join(row["sig"] for row in cell), np.uint16).reshape(-1, HASHES)
     sizes = np.array([row["n"] for row in cell])
@@ -187,35 +188,60 @@ def _cell_links(cell: list[dict], words_each: int, percent: int) -> Iterator[tup
         if crossed:
             fits &= sides[rest] != sides[i]
         rest = rest[fits]
-        for j in rest[_survivors(sigs[i], sigs[rest], percent)] if len(rest) else ():
+        for j in rest[_survivors(sigs[i], sigs[rest], fewest)] if len(rest) else ():
             x, y = parts.find(int(roots[i])), parts.find(int(roots[j]))
             if x != y and _similar(full(i), full(int(j)), percent):
                 parts.up[max(x, y)] = min(x, y)
                 yield cell[i]["rep"], cell[int(j)]["rep"]
 
 
-def _rest_links(members: DataFrame, parts: DataFrame, classes: DataFrame, texts: DataFrame, words_each: int,
+def _open_buckets(members: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bucket members with their part, and the buckets that hold two parts or more: their largest part, some class of
+    it (another one in each bucket), its size and the number of all others."""
+    placed = materialize(members.join(parts, members.rep == parts.node, "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("part")))
+    sizes = placed.groupBy("key", "part").agg(
+        F.count("*").alias("n"), F.min(F.col("rep").bitwiseXOR(F.col("key"))).alias("x"))
+    largest = F.max(F.struct("n", "part", F.col("x").bitwiseXOR(F.col("key")).alias("leader"))).alias("g")
+    buckets = sizes.groupBy("key").agg(F.sum("n").alias("m"), largest).where("m > g.n")
+    return placed, materialize(buckets.select(
+        "key", F.col("g.part").alias("main"), "g.leader", F.col("g.n").alias("n_main"),
+        (F.col("m") - F.col("g.n")).alias("n_rest")))
+
+
+def _rest_links(placed: DataFrame, buckets: DataFrame, classes: DataFrame, texts: DataFrame, words_each: int,
                 percent: int) -> DataFrame:
-    """Confirmed links between parts that meet in a bucket: every pair of classes of different parts is compared."""
-    placed = members.join(parts, members.rep == parts.node, "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("part"))
-    placed = materialize(placed)
-    open_ = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("m"))
-    open_ = open_.where("low < high").select("key", F.ceil(F.col("m") / CELL).cast("int").alias("blocks"))
+    """Confirmed links between parts that meet in a bucket: every pair of classes of different parts is compared.
+
+    A bucket of up to CELL classes is one cell. In a larger one the largest part's blocks meet the others' blocks, and
+    the others' blocks meet each other.
+    """
+    blocks = lambda n: F.ceil(F.col(n) / CELL).cast("int")
+    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    zero, one = F.lit(0), F.lit(1)
+    own = F.pmod(F.xxhash64("rep"), F.col("of")).cast("int")
+    main_blocks = F.sequence(one, F.col("n_mains"))
+    other_blocks = F.sequence(zero, F.col("n_rests") - 1)
+    cells = (
+        F.when(F.col("n_main") + F.col("n_rest") <= CELL, F.array(cell(zero, zero, zero)))
+        .when(F.col("part") == F.col("main"), F.transform(other_blocks, lambda o: cell(o, -1 - own, zero)))
+        .otherwise(F.concat(
+            F.transform(main_blocks, lambda g: cell(own, -g, one)),
+            F.transform(other_blocks, lambda o: cell(F.least(own, o), F.greatest(own, o), own > o))))
+    )
     rows = (
-        placed.join(open_, "key")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "rep", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                (F.col("block") > F.col("other")).cast("int").alias("side"))
+        placed.join(buckets, "key").withColumn("n_mains", blocks("n_main")).withColumn("n_rests", blocks("n_rest"))
+        .withColumn("of", F.when(F.col("part") == F.col("main"), F.col("n_mains")).otherwise(F.col("n_rests")))
+        .select("key", "rep", "part", F.explode(cells).alias("c")).select("key", "rep", "part", "c.*")
     )
+    fewest = _least(percent)
     full = rows.join(classes.select("rep", "n", "sig"), "rep").join(texts, "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
         def links() -> pa.RecordBatch:
-            found = list(_cell_links(held, words_each, percent)) if len(held) > 1 else []
+            found = list(_cell_links(held, words_each, percent, fewest)) if len(held) > 1 else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -262,7 +288,14 @@ def near_groups(docs: DataFrame, words_each: int = 5, percent: int = PERCENT) ->
 
     links = materialize(_first_links(pairs, classes, texts, words_each, percent))
     parts = materialize(components(links))
-    rest = materialize(_rest_links(members.select("key", "rep"), parts, classes, texts, words_each, percent))
+    members = members.select("key", "rep")
+    placed, buckets = _open_buckets(members, parts)
+    pairs = placed.join(buckets, "key").where("part <> main").select(
+        F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    links = links.union(materialize(_first_links(pairs, classes, texts, words_each, percent)))
+    parts = materialize(components(links))
+    placed, buckets = _open_buckets(members, parts)
+    rest = materialize(_rest_links(placed, buckets, classes, texts, words_each, percent))
     # Parts are nodes of a second, smaller graph.
     name = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}"))
     between = rest.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
