@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +79,6 @@ def weight(word: str, learned: dict[str, float]) -> float:
     return best
 
 
-@lru_cache(100_000)
 def plain(token: str) -> str:
     """A token in lower case without its disguise: look-alike signs, marks between letters, stretched letters."""
     token = token.lower().strip("\"'`,:;?()[]{}<>…“”‘’«»¡¿")
