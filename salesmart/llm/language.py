@@ -49,8 +49,8 @@ class Lattice:
     def __init__(self, automaton: ahocorasick.Automaton, words: list[str], unknown: int):
         ends_of_words = np.cumsum([len(w) + 2 for w in words])  # with the mark and the gap
         text = "\n".join(SPACE + w for w in words)
-        found = np.fromiter(chain.from_iterable((end, size, piece) for end, (size, piece) in automaton.iter(text)),
-                            np.int64).reshape(-1, 3)
+        found = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+        found = np.stack([found[:, 0], found[:, 1] >> 32, found[:, 1] & (2**32 - 1)], axis=1)
         word = np.searchsorted(ends_of_words, found[:, 0], side="right")
         begin = np.concatenate(([0], ends_of_words[:-1]))
         end = found[:, 0] - begin[word] + 1
@@ -106,7 +106,7 @@ class LanguageModel:
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
         for i, piece in enumerate(self.vocabulary):
-            found.add_word(piece, (len(piece), i))
+            found.add_word(piece, len(piece) << 32 | i)
         found.make_automaton()
         return found
 
@@ -117,23 +117,21 @@ class LanguageModel:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = {}
 
-    def flush() -> pa.RecordBatch:
-        keys = list(counts)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, own in counts.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())],
+                names=["lang", "word", "n"])
         counts.clear()
-        return out
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            for word, n in Counter(words_of(text)).items():
-                counts[lang, word] += n
-        if len(counts) > COUNTED:
-            yield flush()
-    yield flush()
+            counts.setdefault(lang, Counter()).update(words_of(text))
+        if sum(map(len, counts.values())) > COUNTED:
+            yield from flush()
+    yield from flush()
 
 
 def train(docs: DataFrame, path: str = PIECES, rounds: int = ROUNDS) -> LanguageModel:
