@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, toxicity
+from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, sentencepieces, toxicity
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_sentencepiece": sentencepieces.op3_sentencepiece,
         "op4_near_dedup": near_dedup.op4_near_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_toxicity": toxicity.op6_toxicity,
