@@ -66,7 +66,6 @@ _SHOUT = re.compile(r"\b[A-ZÀ-Þ]{3,}\b")
 _RUN = re.compile(r"[!?]{2,}")
 _STRETCH = re.compile(r"(\w)\1\1+")
 _MASK = re.compile(r"\w[*#]+\w|\w\*{2,}")
-_SPELLED = re.compile(r"\b\w(?:[ .\-_*]\w){3,}\b")
 _ODD = re.compile(r"[0-9@$!|€+*.\-_]|(\w)\1\1")
 
 
@@ -86,40 +85,90 @@ def plain(token: str) -> str:
     return re.sub(r"[\W\d_]", "", token)
 
 
-def features(text: str | None, learned: dict[str, float]) -> list[float]:
-    """One value for each of FEATURES; a null or empty text has zeros."""
-    if not text:
-        return [0.0] * len(FEATURES)
-    tokens = text.split()
-    words = [t.lower().strip(_EDGE) for t in tokens]
-    n, chars = max(1, len(words)), max(1, len(text))
-    insult = [i for i, w in enumerate(words) if w in INSULTS]
-    weights = {w: x for w in set(words) if (x := weight(w, learned))}
-    known = sum(w in weights for w in words)
-    odd = [(i, t) for i, t in enumerate(tokens) if len(t) > 2 and _ODD.search(t)]
-    hidden, disguised = [], 0
-    for i, token in odd:
-        if words[i] in INSULTS or words[i] in weights:
-            continue
-        shown = plain(token)
-        if shown != words[i]:
-            disguised += any(c.isalpha() for c in token)
-            if shown in INSULTS or weight(shown, learned):
-                hidden.append(i)
-    spelled = (plain(re.sub(r"\s", "", m)) for m in _SPELLED.findall(text))
-    hidden += [0 for shown in spelled if shown in INSULTS or weight(shown, learned)]
-    you = np.array([i for i, w in enumerate(words) if w in YOU], float)
-    aimed = sum(1 for i in (*insult, *hidden) if len(you) and np.abs(you - i).min() <= NEAR)
-    capitals = sum(map(str.isupper, text))
-    letters = max(1, sum(map(str.isalpha, text)))
-    return [
-        len(insult) / n, min(len(insult), 5), known / n, min(known, 5), max(weights.values(), default=0.0),
-        min(sum(weights.values()), 40.0), aimed / n,
-        len(you) / n, len(hidden) / n, min(len(hidden), 5), disguised / n, len(_MASK.findall(text)) / n,
-        capitals / letters, len(_SHOUT.findall(text)) / n, text.count("!") / chars, text.count("?") / chars,
-        len(_RUN.findall(text)) / n, len(_STRETCH.findall(text)) / n,
-        sum(map(text.count, ".,;:-\"'")) / chars, sum(map(len, words)) / n, math.log1p(len(words)),
-    ]
+class Featurizer:
+    """Values of a text for FEATURES. What depends on one token alone is kept in a table, for a bounded number of them."""
+
+    REMEMBERED = 200_000
+    SINGLE = ["insult", "known", "weight", "you", "hidden", "disguised", "masked", "shouted", "run", "stretched", "upper",
+              "alpha", "length"]
+
+    def __init__(self, learned: dict[str, float]):
+        self.learned = learned
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.table = np.zeros((1024, len(self.SINGLE)), np.float32)
+
+    def token(self, token: str) -> tuple[float, ...]:
+        """One value for each of SINGLE."""
+        if token.islower() and token.isalpha() and not _STRETCH.search(token):
+            strong = weight(token, self.learned)
+            return (token in INSULTS, strong > 0, strong, token in YOU, 0, 0, 0, 0, 0, 0, 0, len(token), len(token))
+        word = token.lower().strip(_EDGE)
+        insult, strong = word in INSULTS, weight(word, self.learned)
+        upper, alpha = sum(map(str.isupper, token)), sum(map(str.isalpha, token))
+        hidden = disguised = False
+        if len(token) > 2 and not insult and not strong and _ODD.search(token):
+            shown = plain(token)
+            if shown != word:
+                disguised = alpha > 0
+                hidden = shown in INSULTS or weight(shown, self.learned) > 0
+        return (insult, strong > 0, strong, word in YOU, hidden, disguised, len(_MASK.findall(token)),
+                len(_SHOUT.findall(token)), len(_RUN.findall(token)), len(_STRETCH.findall(token)), upper, alpha, len(word))
+
+    def _places(self, tokens: list[str]) -> np.ndarray:
+        memo = self.memo
+        if len(memo) > self.REMEMBERED:
+            self._forget()
+            memo = self.memo
+        for token in set(tokens) - memo.keys():
+            if len(memo) == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[len(memo)] = self.token(token)
+            memo[token] = len(memo)
+        return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
+
+    def _spelled(self, tokens: list[str]) -> list[int]:
+        """Where a row of single letters spells a word of the lists."""
+        found, i = [], 0
+        while i < len(tokens):
+            j = i
+            while j < len(tokens) and len(tokens[j]) == 1:
+                j += 1
+            if j - i >= 4:
+                shown = plain("".join(tokens[i:j]))
+                if shown in INSULTS or weight(shown, self.learned):
+                    found.append(i)
+            i = max(j, i + 1)
+        return found
+
+    def __call__(self, text: str | None) -> list[float]:
+        """A null or empty text, and one of white space, has zeros."""
+        tokens = text.split() if text else []
+        if not tokens:
+            return [0.0] * len(FEATURES)
+        places = self._places(tokens)
+        rows = self.table[places]
+        total = dict(zip(self.SINGLE, rows.sum(axis=0, dtype=np.float64).tolist()))
+        col = self.SINGLE.index
+        distinct = self.table[np.unique(places), col("weight")]
+        spelled = self._spelled(tokens) if sum(len(t) == 1 for t in tokens) >= 4 else []
+        hidden = total["hidden"] + len(spelled)
+        aimed, n, chars = 0, len(tokens), len(text)
+        if total["you"] and total["insult"] + hidden:
+            you = np.flatnonzero(rows[:, col("you")])
+            bad = np.flatnonzero(rows[:, col("insult")] + rows[:, col("hidden")])
+            after = you[np.minimum(np.searchsorted(you, bad), len(you) - 1)]
+            before = you[np.maximum(np.searchsorted(you, bad) - 1, 0)]
+            aimed = int((np.minimum(np.abs(after - bad), np.abs(bad - before)) <= NEAR).sum())
+        return [
+            total["insult"] / n, min(total["insult"], 5.0), total["known"] / n, min(total["known"], 5.0),
+            float(distinct.max()), min(float(distinct.sum()), 40.0), aimed / n, total["you"] / n, hidden / n,
+            min(hidden, 5.0), total["disguised"] / n, total["masked"] / n, total["upper"] / max(1.0, total["alpha"]),
+            total["shouted"] / n, text.count("!") / chars, text.count("?") / chars, total["run"] / n,
+            total["stretched"] / n, sum(map(text.count, ".,;:-\"'")) / chars, total["length"] / n, math.log1p(n),
+        ]
 
 
 def with_features(docs: DataFrame, learned: dict[str, float]) -> DataFrame:
@@ -132,8 +181,9 @@ def with_features(docs: DataFrame, learned: dict[str, float]) -> DataFrame:
                         *(f"{n} double" for n in FEATURES)])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        featurizer = Featurizer(shared.value)
         for batch in batches:
-            rows = np.array([features(t, shared.value) for t in batch.column("text").to_pylist()], float)
+            rows = np.array([featurizer(t) for t in batch.column("text").to_pylist()], float)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), *(pa.array(c) for c in rows.reshape(-1, len(FEATURES)).T)],
                 names=[*names, *FEATURES])
@@ -144,14 +194,13 @@ def with_features(docs: DataFrame, learned: dict[str, float]) -> DataFrame:
 def learn_lexicon(texts: DataFrame) -> dict[str, float]:
     """Words of ``texts`` (text, label) and their beginnings, by their log odds between distinct toxic and other texts,
     two standard errors down."""
-    word = F.regexp_replace("w", r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "")
-    units = F.array("w", *(F.when(F.length("w") > k, F.concat(F.substring("w", 1, k), F.lit("*"))) for k in STEMS))
+    words = F.transform(F.split(F.lower("text"), r"\s+"),
+                        lambda w: F.regexp_replace(w, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", ""))
+    units = F.flatten(F.transform(F.array_distinct(words), lambda w: F.array(
+        w, *(F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS))))
     words = (
         texts.select("text", "label").distinct()
-        .select("label", F.monotonically_increasing_id().alias("row"),
-                F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("w"))
-        .select("label", "row", word.alias("w")).where("w <> ''")
-        .select("label", "row", F.explode(F.array_compact(units)).alias("w")).distinct()
+        .select("label", F.explode(F.array_distinct(F.array_compact(units))).alias("w")).where("w <> ''")
         .groupBy("w").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
     )
     size = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
