@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sentencepieces, toxicity
+from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sentencepieces, toxicity, urls
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_language": language.op7_language,
+        "op8_url_filters": urls.op8_url_filters,
         "op9_secrets": secrets.op9_secrets,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
