@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sentencepieces, toxicity, urls
+from salesmart.llm import decontaminate, exact_dedup, html_extract, language, line_dedup, near_dedup, secrets, sentencepieces, toxicity, urls
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extract": html_extract.op1_html_extract,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_sentencepiece": sentencepieces.op3_sentencepiece,
         "op4_near_dedup": near_dedup.op4_near_dedup,
