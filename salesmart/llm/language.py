@@ -28,8 +28,8 @@ _WORD = re.compile(r"[^\W\d_]{1,%d}" % STRETCH)
 ROUNDS = 2
 #: Probability of a letter that no piece holds, and how many observations the prior over pieces weighs.
 UNKNOWN, PRIOR = 1e-7, 200.0
-#: Words a task remembers at once.
-REMEMBERED, COUNTED = 200_000, 400_000
+#: Words a task remembers at once, when scoring beside the most frequent ones, which come with the model.
+REMEMBERED, COUNTED, FREQUENT = 200_000, 400_000, 60_000
 SPACE = "▁"
 
 
@@ -98,10 +98,13 @@ class Lattice:
 
 
 class LanguageModel:
-    """``chances[piece, language]``; the last piece is the unknown letter. ``prior`` holds each language's share."""
+    """``chances[piece, language]``; the last piece is the unknown letter. ``prior`` holds each language's share,
+    ``frequent`` common words, which every task would meet again, and ``frequent_scores`` theirs."""
 
     def __init__(self, names: list[str], vocabulary: list[str], chances: np.ndarray, prior: np.ndarray):
         self.names, self.vocabulary, self.chances, self.prior = names, vocabulary, chances, prior
+        self.frequent: list[str] = []
+        self.frequent_scores = np.zeros((0, len(names)))
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -177,6 +180,9 @@ def train(docs: DataFrame, path: str = PIECES, rounds: int = ROUNDS) -> Language
         counts = counts[:-1] + PRIOR * start[:-1, None]
         chances = np.vstack([counts / counts.sum(axis=0), np.full((1, len(names)), UNKNOWN)])
         model = LanguageModel(names, vocabulary, chances, model.prior)
+    common = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    model.frequent = [r["word"] for r in common]
+    model.frequent_scores = model.word_scores(model.automaton(), model.frequent)
     return model
 
 
@@ -195,13 +201,14 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         automaton = model.automaton()
-        memo: dict[str, int] = {}
-        table = np.zeros((0, len(model.names)))
+        fixed = len(model.frequent)
+        memo = dict(zip(model.frequent, range(fixed)))
+        table = model.frequent_scores
         for batch in batches:
             texts = [words_of(text) for text in batch.column("text").to_pylist()]
-            if len(memo) > REMEMBERED:
-                memo, table = {}, table[:0]
-            new = list({w for words in texts for w in words} - memo.keys()) if model.names else []
+            if len(memo) > REMEMBERED + fixed:
+                memo, table = dict(zip(model.frequent, range(fixed))), table[:fixed]
+            new = list({w for words in texts for w in words if w not in memo}) if model.names else []
             rows = []
             for at in range(0, len(new), 20_000):
                 part = new[at:at + 20_000]
