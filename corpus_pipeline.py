@@ -10,7 +10,7 @@ from salesmart.llm.common import table
 from salesmart.llm.decontaminate import decontaminate
 from salesmart.llm.exact_dedup import drop_exact_copies
 from salesmart.llm.near_dedup import drop_near_copies
-from salesmart.llm.sentencepieces import decode, encode
+from salesmart.llm.sentencepieces import encode_and_decode
 from salesmart.session import materialize
 
 
@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids, and whether they decode to the text."""
-    return decode(encode(docs.select("doc_id", "text"))).select(
+    return encode_and_decode(docs.select("doc_id", "text")).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

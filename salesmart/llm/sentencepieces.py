@@ -7,6 +7,7 @@ links, and each relaxes the best score of that place. Ids are those of the vocab
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,7 +23,7 @@ SPACE = "▁"
 #: How far below the lowest score an unknown letter counts, as SentencePiece has it.
 PENALTY = 10.0
 #: Stretches a task remembers, and the longest worth it.
-REMEMBERED, MEMORABLE = 200_000, 48
+REMEMBERED, MEMORABLE = 400_000, 32
 
 
 class Encoder:
@@ -35,15 +36,15 @@ class Encoder:
         self.bytes = {}
         self.automaton = ahocorasick.Automaton()
         self.spelled = [b""] * len(table)
-        inside = set()
+        inside: set[str] = set()
+        pairs: set[tuple[str, str]] = set()
         scores = [score for _, score, kind in table if kind == "text"]
         self.unknown = min(scores, default=0.0) - PENALTY
-        self.cuts = True
         for i, (piece, score, kind) in enumerate(table):
             if kind == "text":
                 self.automaton.add_word(piece, (len(piece), score, i))
                 self.spelled[i] = piece.replace(SPACE, " ").encode()
-                self.cuts &= SPACE not in piece.lstrip(SPACE)
+                pairs.update(zip(piece, piece[1:]))
                 inside.update(piece if len(piece) > 1 else "")
             elif kind == "byte":
                 self.bytes[int(piece[3:5], 16)] = i
@@ -51,9 +52,16 @@ class Encoder:
         if len(self.bytes) < 256:
             raise ValueError("the vocabulary needs a piece for every byte")
         self.automaton.make_automaton()
-        # No piece runs from a letter to a word mark, or over a line end: stretches between can be solved one by one.
-        gap = "" if "\n" in inside else r"\n"
-        self.stretch = re.compile(rf"{SPACE}*[^{SPACE}{gap}]+|{SPACE}+|\n") if self.cuts else re.compile(r"(?s).+")
+        # Stretches can be solved one by one where no piece holds both sides of a cut: before a word mark that follows
+        # something else, around a line end, and between a letter and a punctuation mark.
+        marks = {c for c in string.punctuation if not any(a.isalpha() and b == c for a, b in pairs)}
+        if any(a != SPACE and b == SPACE for a, b in pairs):
+            self.stretch = re.compile(r"(?s).+")
+        else:
+            line = "" if "\n" in inside else r"\n"
+            marks = "".join(map(re.escape, sorted(marks)))
+            more = rf"(?:[^{SPACE}{line}{marks}]+|(?<![^\W\d_])[{marks}])*" if marks else rf"[^{SPACE}{line}]*"
+            self.stretch = re.compile(rf"{SPACE}*[^{SPACE}{line}]{more}|{SPACE}+|\n")
         self.memo: dict[str, bytes] = {}
 
     def best(self, text: str) -> bytes:
@@ -110,18 +118,20 @@ class Encoder:
         return found.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def _mapped(docs: DataFrame, path: str, column: str, kind: str, fill) -> DataFrame:
+def _mapped(docs: DataFrame, path: str, columns: dict[str, str], fill) -> DataFrame:
+    """``docs`` with more columns, name to type; ``fill`` makes them of an encoder and a batch."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(pieces(path))  # the vocabulary: a fixed size, whatever the documents
     names = docs.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"{column} {kind}"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
+                        *(f"{name} {kind}" for name, kind in columns.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), fill(encoder, batch)],
-                                             names=[*names, column])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *fill(encoder, batch)],
+                                             names=[*names, *columns])
 
     return docs.mapInArrow(run, schema)
 
@@ -133,19 +143,27 @@ def _lists(found: list[np.ndarray]) -> pa.Array:
 
 def encode(docs: DataFrame, path: str = PIECES, column: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text`` in ``column``, which ``docs`` must not have. A null or empty text has none."""
-    return _mapped(docs, path, column, "array<int>",
-                   lambda encoder, batch: _lists([encoder.encode(t) for t in batch.column("text").to_pylist()]))
+    return _mapped(docs, path, {column: "array<int>"},
+                   lambda encoder, batch: [_lists([encoder.encode(t) for t in batch.column("text").to_pylist()])])
 
 
 def decode(docs: DataFrame, path: str = PIECES, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids`` in ``column``; no ids, or null, give the empty text."""
-    return _mapped(docs, path, column, "string", lambda encoder, batch: pa.array(
-        [encoder.decode(x.as_py() or ()) for x in batch.column(ids)], pa.string()))
+    return _mapped(docs, path, {column: "string"}, lambda encoder, batch: [pa.array(
+        [encoder.decode(x.as_py() or ()) for x in batch.column(ids)], pa.string())])
+
+
+def encode_and_decode(docs: DataFrame, path: str = PIECES) -> DataFrame:
+    """``docs`` with ``ids`` and, decoded from these, ``decoded``, in one go over the texts."""
+    def both(encoder: Encoder, batch: pa.RecordBatch) -> list[pa.Array]:
+        ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+        return [_lists(ids), pa.array([encoder.decode(x.tolist()) for x in ids], pa.string())]
+
+    return _mapped(docs, path, {"ids": "array<int>", "decoded": "string"}, both)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_ids, the decoded text's hash, and whether it is the text."""
-    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return decode(coded).select(
+    return encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

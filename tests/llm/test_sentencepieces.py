@@ -69,9 +69,12 @@ def test_round_trip_and_word_mark():
 
 def test_stretches_equal_whole_search():
     encoder = sp.Encoder(pieces(PIECES))
-    text = "Es ist  ein Wort.\nUnd noch   eins, the end of words"
-    whole = np.frombuffer(encoder.best("▁" + text.replace(" ", "▁")), np.int32)
-    assert encoder.encode(text).tolist() == whole.tolist()
+    rng = random.Random(6)
+    texts = ["Es ist  ein Wort.\nUnd noch   eins, the end of words: e.g. (\"it's\") x.y/z-a_b 12.5% don't!!"]
+    texts += ["".join(rng.choice("abethx .,'()-_/12\n\"é") for _ in range(150)) for _ in range(300)]
+    for text in texts:
+        whole = np.frombuffer(encoder.best("▁" + text.replace(" ", "▁")), np.int32)
+        assert encoder.encode(text).tolist() == whole.tolist()
 
 
 def test_rows(spark):
