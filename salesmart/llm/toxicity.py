@@ -80,7 +80,7 @@ def weight(word: str, learned: dict[str, float]) -> float:
 
 def plain(token: str) -> str:
     """A token in lower case without its disguise: look-alike signs, marks between letters, stretched letters."""
-    token = token.lower().strip("\"'`,:;?()[]{}<>…“”‘’«»¡¿")
+    token = token.lower().strip("\"'`,:;?()[]{}<>…“”‘’«»¡¿").rstrip("!?.,:;")
     token = _STRETCH.sub(r"\1", token.translate(DISGUISE))
     return re.sub(r"[\W\d_]", "", token)
 
