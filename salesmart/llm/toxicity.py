@@ -88,9 +88,9 @@ def plain(token: str) -> str:
 class Featurizer:
     """Values of a text for FEATURES. What depends on one token alone is kept in a table, for a bounded number of them."""
 
-    REMEMBERED = 200_000
+    REMEMBERED = 300_000
     SINGLE = ["insult", "known", "weight", "you", "hidden", "disguised", "masked", "shouted", "run", "stretched", "upper",
-              "alpha", "length"]
+              "alpha", "length", "single"]
 
     def __init__(self, learned: dict[str, float]):
         self.learned = learned
@@ -102,9 +102,12 @@ class Featurizer:
 
     def token(self, token: str) -> tuple[float, ...]:
         """One value for each of SINGLE."""
-        if token.islower() and token.isalpha() and not _STRETCH.search(token):
-            strong = weight(token, self.learned)
-            return (token in INSULTS, strong > 0, strong, token in YOU, 0, 0, 0, 0, 0, 0, 0, len(token), len(token))
+        word = token.rstrip(".,")
+        if word.isalpha() and (word.islower() or word[1:].islower()) and not _STRETCH.search(word):
+            upper, word = not word[0].islower(), word.lower()
+            strong = weight(word, self.learned)
+            return (word in INSULTS, strong > 0, strong, word in YOU, 0, 0, 0, 0, 0, 0, upper, len(word), len(word),
+                    len(token) == 1)
         word = token.lower().strip(_EDGE)
         insult, strong = word in INSULTS, weight(word, self.learned)
         upper, alpha = sum(map(str.isupper, token)), sum(map(str.isalpha, token))
@@ -115,32 +118,29 @@ class Featurizer:
                 disguised = alpha > 0
                 hidden = shown in INSULTS or weight(shown, self.learned) > 0
         return (insult, strong > 0, strong, word in YOU, hidden, disguised, len(_MASK.findall(token)),
-                len(_SHOUT.findall(token)), len(_RUN.findall(token)), len(_STRETCH.findall(token)), upper, alpha, len(word))
+                len(_SHOUT.findall(token)), len(_RUN.findall(token)), len(_STRETCH.findall(token)), upper, alpha, len(word), len(token) == 1)
 
     def _places(self, tokens: list[str]) -> np.ndarray:
         memo = self.memo
         if len(memo) > self.REMEMBERED:
             self._forget()
             memo = self.memo
-        for token in set(tokens) - memo.keys():
-            if len(memo) == len(self.table):
+        new = [t for t in set(tokens) if t not in memo]
+        if new:
+            first = len(memo)
+            while first + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[len(memo)] = self.token(token)
-            memo[token] = len(memo)
+            self.table[first:first + len(new)] = [self.token(t) for t in new]
+            memo.update(zip(new, range(first, first + len(new))))
         return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
 
-    def _spelled(self, tokens: list[str]) -> list[int]:
-        """Where a row of single letters spells a word of the lists."""
-        found, i = [], 0
-        while i < len(tokens):
-            j = i
-            while j < len(tokens) and len(tokens[j]) == 1:
-                j += 1
-            if j - i >= 4:
-                shown = plain("".join(tokens[i:j]))
-                if shown in INSULTS or weight(shown, self.learned):
-                    found.append(i)
-            i = max(j, i + 1)
+    def _spelled(self, tokens: list[str], single: np.ndarray) -> int:
+        """How many rows of at least four single letters spell a word of the lists."""
+        found = 0
+        for row in np.split(single, np.flatnonzero(np.diff(single) > 1) + 1):
+            if len(row) >= 4:
+                shown = plain("".join(tokens[row[0]:row[-1] + 1]))
+                found += shown in INSULTS or weight(shown, self.learned) > 0
         return found
 
     def __call__(self, text: str | None) -> list[float]:
@@ -153,8 +153,9 @@ class Featurizer:
         total = dict(zip(self.SINGLE, rows.sum(axis=0, dtype=np.float64).tolist()))
         col = self.SINGLE.index
         distinct = self.table[np.unique(places), col("weight")]
-        spelled = self._spelled(tokens) if sum(len(t) == 1 for t in tokens) >= 4 else []
-        hidden = total["hidden"] + len(spelled)
+        hidden = total["hidden"]
+        if total["single"] >= 4:
+            hidden += self._spelled(tokens, np.flatnonzero(rows[:, col("single")]))
         aimed, n, chars = 0, len(tokens), len(text)
         if total["you"] and total["insult"] + hidden:
             you = np.flatnonzero(rows[:, col("you")])
