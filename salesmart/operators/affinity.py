@@ -15,7 +15,6 @@ from salesmart.session import materialize
 MIN_CUSTOMERS = 10
 MIN_SUPPORT = "0.01"
 MIN_CONFIDENCE = "0.2"
-FEW_ITEMS = 65_536  # up to here one task numbers the items
 
 
 def customer_basket(sales: DataFrame) -> DataFrame:
@@ -50,14 +49,11 @@ def item_support(basket: DataFrame) -> DataFrame:
     return basket.groupBy("product_name").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def number_items(items: DataFrame, key: str, name: str = "item", few: bool = False) -> DataFrame:
+def number_items(items: DataFrame, key: str, name: str = "item") -> DataFrame:
     """Consecutive numbers from 0: a column index for the Gram matrix.
 
-    Numbered inside hash buckets with offsets, so no task sorts the whole item list. ``few`` says that the
-    caller has counted the items and found them few: then one sort by ``key`` is enough.
+    Numbered inside hash buckets with offsets, so no task sorts the whole item list.
     """
-    if few:
-        return items.withColumn(name, (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
     bucketed = items.withColumn("_bucket", F.pmod(F.hash(key), F.lit(256)))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +75,7 @@ def pair_support(basket: DataFrame, threshold: int) -> DataFrame:
     Pair counts come from the Gram matrix of the 0/1 baskets. A huge basket adds one row to its task's block product.
     """
     often = materialize(item_support(basket).where(F.col("customers") >= threshold))
-    items = number_items(often, "product_name", few=often.count() <= FEW_ITEMS)
+    items = materialize(number_items(often, "product_name"))
     frequent = basket.join(items.select("product_name", "item"), "product_name").select("customer_id", "item")
     counts = gram(pack_rows(frequent, "customer_id", "item")).where((F.col("i") < F.col("j")) & (F.col("x") >= threshold))
     pairs = counts.select("i", "j", F.col("x").cast("bigint").alias("pair_customers"))

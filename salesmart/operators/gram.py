@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 BLOCK = 1024  # columns per block: one product block is 8 MB
 CHUNK = 4096  # rows multiplied at a time
-HELD_BLOCKS = 16  # block pairs a task may keep summing before it has to emit
+HELD_CELLS = 4_000_000  # cells a task gathers (about 80 MB) before it sums each block pair over them
 
 
 def pack_rows(cells: DataFrame, row: str, column: str, value: str | None = None) -> DataFrame:
@@ -52,43 +52,67 @@ def _dense(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, height: int) ->
     return part
 
 
-def _chunk_products(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Products of every pair of column blocks of one chunk; two dense blocks exist at a time."""
-    owner = cols // BLOCK
-    blocks = [int(b) for b in np.unique(owner)]
-    for first in blocks:
-        mine = owner == first
-        # Only rows with a cell in the first block matter for its products.
-        used, left_rows = np.unique(rows[mine], return_inverse=True)
-        left = _dense(left_rows, cols[mine], vals[mine], len(used))
-        place = np.full(rows.max() + 1, -1)
-        place[used] = np.arange(len(used))
-        for second in blocks:
-            if second < first:
+class _Rows:
+    """Some rows' cells, cut into chunks of CHUNK rows and those by column block."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, vals: np.ndarray):
+        order = np.lexsort((cols, cols // BLOCK, rows // CHUNK))
+        rows, cols, vals = rows[order], cols[order], vals[order]
+        key = (rows // CHUNK) * (int(cols.max(initial=0)) // BLOCK + 1) + cols // BLOCK
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+        self.parts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for s, e in zip(cuts, cuts[1:]):
+            if e > s:
+                self.parts[int(rows[s]) // CHUNK, int(cols[s]) // BLOCK] = rows[s:e], cols[s:e], vals[s:e]
+        self.chunks = sorted({chunk for chunk, _ in self.parts})
+        self.blocks = sorted({block for _, block in self.parts})
+
+    def product(self, first: int, second: int) -> np.ndarray | None:
+        """The sum over all rows for one pair of column blocks; two dense blocks exist at a time."""
+        total = None
+        for chunk in self.chunks:
+            mine, theirs = self.parts.get((chunk, first)), self.parts.get((chunk, second))
+            if mine is None or theirs is None:
                 continue
-            if second == first:
-                yield first, second, left.T @ left
-                continue
-            theirs = (owner == second) & (place[rows] >= 0)
-            if theirs.any():
-                right = _dense(place[rows[theirs]], cols[theirs], vals[theirs], len(used))
-                yield first, second, left.T @ right
+            # Only rows with a cell in the first block matter.
+            used, left_rows = np.unique(mine[0], return_inverse=True)
+            left = _dense(left_rows, mine[1], mine[2], len(used))
+            if first == second:
+                right = left
+            else:
+                here = np.isin(theirs[0], used)
+                if not here.any():
+                    continue
+                right = _dense(np.searchsorted(used, theirs[0][here]), theirs[1][here], theirs[2][here], len(used))
+            part = left.T @ right
+            if total is None:
+                total = np.zeros((BLOCK, BLOCK))
+            total[: part.shape[0], : part.shape[1]] += part
+        return total
 
 
 def _block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[int, int], np.ndarray] = {}
+    """Cells are gathered up to HELD_CELLS; then each block pair is summed over all of them and emitted once."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    n_rows = n_cells = 0
+
+    def sums() -> Iterator[pa.RecordBatch]:
+        rows = _Rows(*(np.concatenate(parts) for parts in zip(*held)))
+        for i, first in enumerate(rows.blocks):
+            for second in rows.blocks[i:]:
+                total = rows.product(first, second)
+                if total is not None:
+                    yield _emit(first, second, total)
+
     for batch in batches:
-        for start in range(0, batch.num_rows, CHUNK):
-            rows, cols, vals = unpack(batch.slice(start, CHUNK))
-            for first, second, product in _chunk_products(rows, cols, vals):
-                total = held.setdefault((first, second), np.zeros((BLOCK, BLOCK)))
-                total[: product.shape[0], : product.shape[1]] += product
-                if len(held) > HELD_BLOCKS:
-                    # Many blocks: hand the oldest sums to Spark's own (spilling) partial aggregation.
-                    key = next(iter(held))
-                    yield _emit(*key, held.pop(key))
-    for key, total in held.items():
-        yield _emit(*key, total)
+        rows, cols, vals = unpack(batch)
+        held.append((rows + n_rows, cols, vals))
+        n_rows, n_cells = n_rows + batch.num_rows, n_cells + len(cols)
+        if n_cells >= HELD_CELLS:
+            yield from sums()
+            held, n_rows, n_cells = [], 0, 0
+    if n_cells:
+        yield from sums()
 
 
 def gram(rows: DataFrame) -> DataFrame:

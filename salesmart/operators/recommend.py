@@ -1,12 +1,8 @@
 """Product recommendations from a truncated SVD of the customer × product spend matrix.
 
 With A the spend matrix and V its top-k right singular vectors, the rank-k reconstruction is A·V·Vᵀ (no U, no
-signs). Two ways to V give the same recommendations:
-
-* up to ``DRIVER_ITEMS`` products, AᵀA is summed in one distributed pass and its eigenvectors (a bounded,
-  items × items problem) are found on the driver; V is a few hundred kilobytes and travels with the tasks;
-* above that, block subspace iteration: every step is two joins and two aggregations over A, V stays a
-  distributed frame, and only k × k matrices reach the driver.
+signs). V comes from a block Krylov space of AᵀA with thick restarts, for every size of catalogue: a step is two joins
+and two aggregations over A, the basis stays a distributed frame, and only small matrices reach the driver.
 """
 
 from __future__ import annotations
@@ -14,21 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.expressions import money_sum
 from salesmart.operators.affinity import number_items
-from salesmart.operators.gram import gram, pack_rows, unpack
+from salesmart.operators.gram import pack_rows
 from salesmart.schemas import SCORE
 from salesmart.session import materialize
 
 FACTORS = 20
 TOP_N = 5
-DRIVER_ITEMS = 2048  # AᵀA is then at most 32 MB on the driver
-SCORE_CHUNK = 2048  # customers scored at a time in a task
+SCORE_CHUNK = 512  # customers scored at a time in a task
 ITEM_BLOCK = 4096  # products per packed block of V in the distributed form
 
 _RESULT = "customer_id bigint, item int, score double"
@@ -43,11 +37,23 @@ def user_item_spend(sales: DataFrame) -> DataFrame:
 
 
 def user_item_pivot(sales: DataFrame, products: list[int]) -> DataFrame:
-    """The wide form, one column per product (``item_<id>``), for callers who want a matrix of few products."""
-    wide = user_item_spend(sales).groupBy("customer_id").pivot("product_id", products).agg(F.first("spend"))
+    """The wide form, one column per product (``item_<id>``), for callers who want a matrix of few products.
+
+    A sale of a product that is not listed fails the query: its spend would be lost.
+    """
+    listed = F.coalesce(F.col("product_id").isin(list(products)), F.lit(False))
+    other = F.when(~listed, F.coalesce(F.col("product_id").cast("string"), F.lit("NULL")))
+    # The check is an aggregate, so no optimizer rule can move it in front of a join and meet rows that are no sales.
+    wide = user_item_spend(sales).groupBy("customer_id").agg(
+        *[F.sum(F.when(F.col("product_id") == p, F.col("spend"))).alias(f"_{i}") for i, p in enumerate(products)],
+        F.min(other).alias("_other"),
+    )
+    refused = F.raise_error(F.concat(F.lit("product not in the list: "), F.col("_other")))
     zero = F.lit(0).cast("decimal(20,2)")
     return wide.select(
-        "customer_id", *[F.coalesce(F.col(f"`{p}`"), zero).alias(f"item_{p}".replace("-", "_")) for p in products]
+        F.when(F.col("_other").isNull(), F.col("customer_id")).otherwise(refused).alias("customer_id"),
+        *[F.coalesce(F.col(f"_{i}").cast("decimal(20,2)"), zero).alias(f"item_{p}".replace("-", "_"))
+          for i, p in enumerate(products)],
     )
 
 
@@ -83,16 +89,7 @@ def top_per_customer(scores: DataFrame, n: int = TOP_N, score: str = "score") ->
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-# --- small catalogue: Gram matrix, driver eigenvectors ----------------------------------------------------------
-
-
-def _gram_factors(rows: DataFrame, n_items: int, k: int) -> np.ndarray:
-    """Top-k right singular vectors from the Gram matrix; ``n_items`` is checked by the caller."""
-    cells = gram(rows).toPandas()
-    full = np.zeros((n_items, n_items))
-    full[cells["i"], cells["j"]] = cells["x"]
-    full[cells["j"], cells["i"]] = cells["x"]
-    return np.linalg.eigh(full)[1][:, ::-1][:, :k].copy()
+# --- scoring -----------------------------------------------------------------------------------------------------
 
 
 def _best(scores: np.ndarray, rows: np.ndarray, items: np.ndarray, ids: np.ndarray, n: int):
@@ -111,25 +108,7 @@ def _best(scores: np.ndarray, rows: np.ndarray, items: np.ndarray, ids: np.ndarr
     return r[keep], c[keep], s[keep]
 
 
-def _score_rows(rows: DataFrame, factors: np.ndarray, ids: np.ndarray, top_n: int) -> DataFrame:
-    schema = pa.schema([("customer_id", pa.int64()), ("item", pa.int32()), ("score", pa.float64())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SCORE_CHUNK):
-                part = batch.slice(start, SCORE_CHUNK)
-                r, c, v = unpack(part)
-                latent = np.zeros((part.num_rows, factors.shape[1]))
-                np.add.at(latent, r, v[:, None] * factors[c])
-                who, item, value = _best(latent @ factors.T, r, c, ids, top_n)
-                customers = part.column("customer_id").to_numpy()[who]
-                columns = [pa.array(customers), pa.array(item.astype(np.int32)), pa.array(value)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return rows.mapInArrow(score, _RESULT)
-
-
-# --- large catalogue: block subspace iteration --------------------------------------------------------------------
+# --- factors -----------------------------------------------------------------------------------------------------
 
 
 def _columns(prefix: str, width: int) -> list[str]:
@@ -142,102 +121,139 @@ def _pushed(cells: DataFrame, vectors: DataFrame, on: str, to: str, width: int)
     return cells.join(vectors, on).groupBy(to).agg(*sums)
 
 
-def _small_products(both: DataFrame, width: int) -> np.ndarray:
-    """VᵀV, VᵀZ and ZᵀZ of two aligned tall frames; only width × width sums leave the tasks."""
-    v, z = _columns("v", width), _columns("z", width)
-
-    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((3, width, width))
-        for frame in frames:
-            left, right = frame[v].to_numpy(), frame[z].to_numpy()
-            total += np.stack([left.T @ left, left.T @ right, right.T @ right])
-        which, i, j = np.indices(total.shape)
-        yield pd.DataFrame({"w": which.ravel(), "i": i.ravel(), "j": j.ravel(), "x": total.ravel()})
-
-    parts = both.select(*v, *z).mapInPandas(products, "w int, i int, j int, x double")
-    summed = parts.groupBy("w", "i", "j").agg(F.sum("x").alias("x")).toPandas()
-    out = np.zeros((3, width, width))
-    out[summed["w"], summed["i"], summed["j"]] = summed["x"]
-    return out
-
+def _tall(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """An array column of one length as a matrix."""
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
-def _residuals(both: DataFrame, width: int, mix: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Norms of Z·w − θ·V·w for every wanted pair, summed without cancellation."""
-    v, z = _columns("v", width), _columns("z", width)
 
-    def squares(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(values))
-        for frame in frames:
-            rest = frame[z].to_numpy() @ mix - (frame[v].to_numpy() @ mix) * values
-            total += (rest**2).sum(axis=0)
-        yield pd.DataFrame({"j": np.arange(len(values)), "x": total})
-
-    parts = both.select(*v, *z).mapInPandas(squares, "j int, x double")
-    summed = parts.groupBy("j").agg(F.sum("x").alias("x")).orderBy("j").toPandas()
-    return np.sqrt(summed["x"].to_numpy())
+def _inner_products(both: DataFrame, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """QᵀR and RᵀR of the tall frame (q, z), R = Z − Q·first; only small sums leave the tasks."""
+    m, b = first.shape
 
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((m + b, b))
+        for batch in batches:
+            if batch.num_rows:
+                q, z = _tall(batch, "q"), _tall(batch, "z")
+                rest = z - q @ first
+                total += np.vstack([q.T @ rest, rest.T @ rest])
+        i, j = np.indices(total.shape)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)), pa.array(total.ravel())],
+            names=["i", "j", "x"])
 
-def _combined(frame: DataFrame, prefix: str, width: int, mix: np.ndarray) -> DataFrame:
-    """Row-wise product of the ``prefix`` columns with a small matrix."""
-    names, out = _columns(prefix, width), _columns("v", mix.shape[1])
+    parts = both.select("q", "z").mapInArrow(products, "i int, j int, x double")
+    summed = parts.groupBy("i", "j").agg(F.sum("x").alias("x")).toPandas()
+    out = np.zeros((m + b, b))
+    out[summed["i"], summed["j"]] = summed["x"]
+    return out[:m], out[m:]
 
-    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            mixed = pd.DataFrame(part[names].to_numpy() @ mix, columns=out)
-            mixed.insert(0, "item", part["item"].to_numpy())
-            yield mixed
 
-    return frame.select("item", *names).mapInPandas(apply, "item int, " + ", ".join(f"{c} double" for c in out))
+def _arrays(values: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).ravel()))
 
 
-def subspace_factors(
-    cells: DataFrame, items: DataFrame, k: int, oversample: int = 10, tolerance: float = 1e-10, max_steps: int = 300
-) -> tuple[DataFrame, int]:
-    """Top-k right singular vectors of the spend cells as a frame ``(item, v0, v1, ...)`` and their number.
+def _mixed(both: DataFrame, onto: np.ndarray, first: np.ndarray, second: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """(item, q, v0, v1, ...): the basis times ``onto``, with the columns ((Z − Q·first) − Q·second)·scale added to it
+    and beside it."""
+    names = _columns("v", scale.shape[1])
 
-    Subspace iteration with Rayleigh-Ritz; stops when every wanted pair's residual is below ``tolerance`` times
-    the largest eigenvalue, and fails rather than return vectors that have not converged. Each step is written
+    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q, z = _tall(batch, "q"), _tall(batch, "z")
+            fresh = ((z - q @ first) - q @ second) @ scale
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item"), _arrays(np.hstack([q @ onto, fresh])), *(pa.array(c) for c in fresh.T.copy())],
+                names=["item", "q", *names])
+
+    schema = "item int, q array<double>" + "".join(f", {c} double" for c in names)
+    return both.select("item", "q", "z").mapInArrow(mix, schema)
+
+
+def krylov_factors(
+    cells: DataFrame, items: DataFrame, k: int, oversample: int = 10, blocks: int = 8, tolerance: float = 1e-10,
+    max_steps: int = 300,
+) -> tuple[DataFrame, int, int]:
+    """Top-k right singular vectors of the spend cells as a frame ``(item, v0, v1, ...)``, their number, and the passes
+    over the cells.
+
+    Every step multiplies the newest block of ``k + oversample`` basis vectors by AᵀA and makes the result orthogonal to
+    the whole basis, twice. A basis of ``blocks`` blocks is compressed to its best vectors and grows on. It ends when
+    every wanted pair's residual is below ``tolerance`` times the largest eigenvalue, at the latest when the basis
+    spans all that AᵀA reaches, and fails rather than return vectors that have not converged. Each step is written
     to the checkpoint folder, so the lineage stays short and a lost executor costs one step.
     """
     width = k + oversample
     # Start vectors from a hash of the item number: the same on every attempt of a task.
-    seeds = [
-        (F.pmod(F.xxhash64(F.col("item"), F.lit(j)), F.lit(2_000_003)) / 1_000_001.5 - 1).alias(c)
-        for j, c in enumerate(_columns("v", width))
-    ]
-    vectors = items.select("item", *seeds)
-    for _ in range(max_steps):
-        image = _pushed(cells, _pushed(cells, vectors, "item", "customer_id", width), "customer_id", "item", width)
-        renamed = [F.col(v).alias(z) for v, z in zip(_columns("v", width), _columns("z", width))]
-        both = materialize(vectors.join(image.select("item", *renamed), "item"))
-        inner, projected, squared = _small_products(both, width)
-        # Rayleigh-Ritz in the metric VᵀV; directions lost to rank deficiency drop out here.
-        scale, basis = np.linalg.eigh(inner)
-        sound = scale > scale[-1] * 1e-12
-        whiten = basis[:, sound] / np.sqrt(scale[sound])
-        values, turn = np.linalg.eigh(whiten.T @ ((projected + projected.T) / 2) @ whiten)
-        mix, values = (whiten @ turn)[:, ::-1], values[::-1]
-        if (_residuals(both, width, mix[:, :k], values[:k]) <= tolerance * values[0]).all():
-            return _combined(both, "v", width, mix[:, :k]), min(k, mix.shape[1])
-        norms = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", mix, squared, mix), 0))
-        alive = norms > norms.max() * 1e-13
-        vectors = materialize(_combined(both, "z", width, mix[:, alive] / norms[alive]))
-        width = int(alive.sum())
-    raise RuntimeError(f"no convergence after {max_steps} steps: raise max_steps or oversample")
+    seeds = [F.pmod(F.xxhash64(F.col("item"), F.lit(j)), F.lit(2_000_003)) / 1_000_001.5 - 1 for j in range(width)]
+    both = materialize(items.select("item", F.array().cast("array<double>").alias("q"), F.array(*seeds).alias("z")))
+    inner, last, largest = np.zeros((0, 0)), np.zeros((0, 0)), 0.0
+    for step in range(max_steps):
+        size, width = len(inner), len(last) if step else width
+        first, _ = _inner_products(both, np.zeros((size, width)))
+        second, square = _inner_products(both, first)
+        square = (square + square.T) / 2 - second.T @ second
+        values, turn = np.zeros(0), np.zeros((0, 0))
+        if step:
+            # The newest columns of QᵀAᵀAQ; the others are known.
+            inner[:, size - len(last):] = first
+            inner[size - len(last):] = first.T
+            values, turn = np.linalg.eigh((inner + inner.T) / 2)
+            values, turn = values[::-1], turn[:, ::-1]
+            largest = values[0]
+            tail = turn[size - len(last):, :k]
+            rest = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", tail, square, tail), 0))
+            if size >= k and (rest <= tolerance * largest).all():
+                return _chosen(both, turn[:, :k]), k, step
+        scale, basis = np.linalg.eigh(square)
+        floor = (tolerance * largest) ** 2 if step else scale[-1] * 1e-20
+        sound = scale > max(floor, scale[-1] * 1e-20)
+        if not sound.any():  # the basis holds all that the matrix reaches
+            rank = min(k, int((values > largest * 1e-14).sum()))
+            return _chosen(both, turn[:, :rank]), rank, step
+        onto = np.eye(size)
+        if size + int(sound.sum()) > blocks * (k + oversample):
+            onto, inner = turn[:, : k + oversample], np.diag(values[: k + oversample])
+        fresh = basis[:, sound] / np.sqrt(scale[sound])
+        grown = _mixed(both, onto, first, second, fresh)
+        last = np.zeros((fresh.shape[1], 1))
+        inner = np.pad(inner, (0, len(last)))
+        names = _columns("v", len(last))
+        image = _pushed(cells, _pushed(cells, grown.drop("q"), "item", "customer_id", len(last)), "customer_id", "item",
+                        len(last))
+        both = materialize(grown.select("item", "q").join(image.select("item", F.array(*names).alias("z")), "item"))
+    raise RuntimeError(f"no convergence after {max_steps} steps: raise max_steps, blocks or oversample")
+
+
+def _chosen(both: DataFrame, mix: np.ndarray) -> DataFrame:
+    """(item, v0, v1, ...): the basis times a small matrix."""
+    names = _columns("v", mix.shape[1])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item"), *(pa.array(c) for c in (_tall(batch, "q") @ mix).T.copy())], names=["item", *names])
+
+    return both.select("item", "q").mapInArrow(apply, "item int" + "".join(f", {c} double" for c in names))
 
 
 def _score_blocks(rows: DataFrame, cells: DataFrame, factors: DataFrame, width: int, items: DataFrame, top_n: int,
-                  n_customers: int, n_items: int, spread: int = 32) -> DataFrame:
+                  n_customers: int, n_items: int) -> DataFrame:
     """Best ``top_n`` products per customer and product block.
 
     Customers travel in packed chunks and V in packed blocks, so one joined row stands for millions of scores
-    and is reduced to ``top_n`` per customer in the task that made it. The join key is (block, slot): ``spread``
-    slots keep a block from becoming one task.
+    and is reduced to ``top_n`` per customer in the task that made it. The join key is (block, slot): sixteen chunks
+    share a slot, so a copy of a block serves thousands of customers and no block becomes one task.
     """
     v = _columns("v", width)
     latent = _pushed(cells, factors, "item", "customer_id", width)
     chunks = max(1, -(-n_customers // SCORE_CHUNK))
-    blocks = -(-n_items // ITEM_BLOCK)
+    blocks, spread = -(-n_items // ITEM_BLOCK), -(-chunks // 16)
     person = F.struct("customer_id", F.array(*v).alias("p"), F.col("idx").alias("bought"))
     packed = (
         latent.join(rows.select("customer_id", "idx"), "customer_id")
@@ -245,6 +261,10 @@ def _score_blocks(rows: DataFrame, cells: DataFrame, factors: DataFrame, width:
         .agg(F.collect_list(person).alias("people"))
         .select("people", F.pmod("chunk", F.lit(spread)).alias("slot"),
                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        # What a customer bought travels to the block it belongs to only.
+        .withColumn("people", F.transform("people", lambda x: F.struct(
+            x["customer_id"].alias("customer_id"), x["p"].alias("p"),
+            F.filter(x["bought"], lambda i: F.floor(i / ITEM_BLOCK) == F.col("block")).alias("bought"))))
     )
     product = F.struct("item", "product_id", F.array(*v).alias("q"))
     shelves = (
@@ -283,7 +303,6 @@ def recommend(
     sales: DataFrame,
     factors: int = FACTORS,
     top_n: int = TOP_N,
-    driver_items: int = DRIVER_ITEMS,
     name_fallback: bool = False,
 ) -> DataFrame:
     """Top ``top_n`` unbought products per customer by reconstructed spend.
@@ -291,6 +310,7 @@ def recommend(
     Ranks come from the unrounded scores. The factor count is at most one below the smaller side of the matrix;
     with a single customer or product there is nothing to recommend.
     """
+    sales = materialize(sales.select("customer_id", "product_id", "product_name", "amount", "sale_date", "sale_id"))
     spend = materialize(user_item_spend(sales))
     n_items, n_customers = spend.agg(F.count_distinct("product_id"), F.count_distinct("customer_id")).first()
     k = min(factors, min(n_items, n_customers) - 1)
@@ -298,19 +318,12 @@ def recommend(
     if k < 1:
         empty = spend.where(F.lit(False)).join(names, "product_id")
         return empty.select("customer_id", "product_id", "product_name", F.lit(0).cast(SCORE).alias("score"), F.lit(0).alias("rank"))
-    few = n_items <= driver_items
-    items = materialize(number_items(spend.select("product_id").distinct(), "product_id", few=few))
-    cells = spend.join(items, "product_id").select("customer_id", "item", F.col("spend").cast("double").alias("spend"))
-    rows = materialize(pack_rows(cells, "customer_id", "item", "spend"))
-    if few:
-        catalogue = items.orderBy("item").toPandas()  # at most driver_items rows
-        ids = catalogue["product_id"].to_numpy()
-        scored = _score_rows(rows, _gram_factors(rows, n_items, k), ids, top_n)
-    else:
-        cells = materialize(cells)
-        vectors, width = subspace_factors(cells, items, k)
-        vectors = materialize(vectors)
-        scored = _score_blocks(rows, cells, vectors, width, items, top_n, n_customers, n_items)
+    items = materialize(number_items(spend.select("product_id").distinct(), "product_id"))
+    cells = materialize(
+        spend.join(items, "product_id").select("customer_id", "item", F.col("spend").cast("double").alias("spend")))
+    rows = pack_rows(cells, "customer_id", "item", "spend")
+    vectors, width, _ = krylov_factors(cells, items, k)
+    scored = _score_blocks(rows, cells, materialize(vectors), width, items, top_n, n_customers, n_items)
     best = top_per_customer(scored.join(items, "item"), top_n)
     named = best.join(names, "product_id", "left")
     label = F.col("product_name")

@@ -1,4 +1,4 @@
-"""Recommendations against a dense numpy SVD, through both ways of finding the factors."""
+"""Recommendations against a dense numpy SVD."""
 
 import numpy as np
 import pandas as pd
@@ -49,16 +49,31 @@ def check(result, frame, k, n):
         assert got[(customer, rank)][1] == pytest.approx(score, abs=1e-4)
 
 
-def test_small_catalogue_equals_dense_svd(spark):
+def test_equal_dense_svd(spark):
     sales, frame = make_sales(spark, 60, 25, 0.4, 1)
     check(R.recommend(sales, factors=6), frame, 6, 5)
 
 
-def test_large_catalogue_way_gives_the_same(spark, monkeypatch):
+def test_scores_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(R, "ITEM_BLOCK", 8)
-    monkeypatch.setattr(R, "SCORE_CHUNK", 16)
+    monkeypatch.setattr(R, "SCORE_CHUNK", 2)
     sales, frame = make_sales(spark, 40, 22, 0.5, 2)
-    check(R.recommend(sales, factors=3, driver_items=4), frame, 3, 5)
+    check(R.recommend(sales, factors=3), frame, 3, 5)
+
+
+@pytest.mark.parametrize("shape, k", [((500, 99), 20), ((60, 150), 10)])
+def test_factors_of_a_flat_spectrum(spark, shape, k):
+    """Uniform random spend has no gap between its singular values."""
+    matrix = np.random.default_rng(7).uniform(0, 100, shape)
+    c, i = np.indices(shape)
+    frame = pd.DataFrame({"customer_id": c.ravel(), "item": i.ravel().astype(np.int32), "spend": matrix.ravel()})
+    cells = R.materialize(spark.createDataFrame(frame))
+    vectors, width, passes = R.krylov_factors(cells, cells.select("item").distinct(), k, blocks=3)
+    assert width == k and passes <= 100
+    got = vectors.orderBy("item").drop("item").toPandas().to_numpy()
+    want = np.linalg.svd(matrix, full_matrices=False)[2][:k].T
+    assert np.abs(got @ got.T - want @ want.T).max() < 1e-6
+    assert np.abs(got.T @ got - np.eye(k)).max() < 1e-9
 
 
 def test_factor_count_is_capped_by_the_smaller_side(spark):

@@ -2,7 +2,9 @@
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,26 @@ def test_recommendations_skip_everything_a_hot_customer_bought(facts):
     assert recs.join(bought, ["customer_id", "product_id"], "left_semi").isEmpty()
     per = recs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("r")).where("n <> r or n > 5")
     assert per.isEmpty()
+
+
+@pytest.mark.parametrize("blocks", [3, 6, 12])
+def test_a_task_emits_each_cell_about_once(monkeypatch, blocks):
+    """Whatever the number of column blocks, a task emits at most one sum a cell each time it has gathered its fill."""
+    from salesmart.operators import gram as G
+
+    monkeypatch.setattr(G, "BLOCK", 8)
+    monkeypatch.setattr(G, "CHUNK", 16)
+    rng = np.random.default_rng(blocks)
+    rows = [np.flatnonzero(rng.random(8 * blocks) < 0.5).astype(np.int32) for _ in range(200)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(part), pa.array([np.ones(len(r)) for r in part])], names=["idx", "val"])
+        for part in (rows[:90], rows[90:])
+    ]
+    cells = pa.Table.from_batches(list(G._block_products(iter(batches))))
+    dense = np.zeros((200, 8 * blocks))
+    for i, r in enumerate(rows):
+        dense[i, r] = 1
+    want = np.triu(dense.T @ dense)
+    got = np.zeros_like(want)
+    np.add.at(got, (cells["i"].to_numpy(), cells["j"].to_numpy()), cells["x"].to_numpy())
+    assert (got == want).all() and cells.num_rows == np.count_nonzero(want)
