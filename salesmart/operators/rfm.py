@@ -11,6 +11,7 @@ from salesmart.functions.expressions import at, cut, elapsed_days, on, rfm_segme
 from salesmart.schemas import MONEY
 
 BOUNDARIES = ("as_of", "snapshot_date")
+FULL_BOUNDARIES = ("all", *BOUNDARIES)
 
 
 def rfm_base(sales: DataFrame) -> DataFrame:
@@ -71,26 +72,33 @@ def score(base: DataFrame, as_of: datetime | str) -> DataFrame:
     )
 
 
-def rfm_full(sales: DataFrame, as_of: datetime | str, boundary: str = "as_of") -> DataFrame:
-    """Snapshot from the whole history; ``boundary="as_of"`` counts only sales before ``as_of``."""
+def rfm_full(sales: DataFrame, as_of: datetime | str, boundary: str = "all") -> DataFrame:
+    """Snapshot from the whole history, sales without a date included.
+
+    ``boundary="as_of"`` leaves out sales from ``as_of`` on, for replaying an earlier evaluation time; sales without
+    a date count there too, since nothing says that they are later.
+    """
+    if boundary not in FULL_BOUNDARIES:
+        raise ValueError(f"boundary must be one of {FULL_BOUNDARIES}")
     if boundary == "as_of":
-        sales = sales.where(F.col("sale_date") < at(as_of))
+        sales = sales.where((F.col("sale_date") < at(as_of)) | F.col("sale_date").isNull())
     return score(rfm_base(sales), as_of)
 
 
-def new_since(sales: DataFrame, previous: datetime | str, as_of: datetime | str, boundary: str = "as_of") -> DataFrame:
+def new_since(sales: DataFrame, previous: datetime | str, as_of: datetime | str, boundary: str = "as_of",
+              undated: bool = False) -> DataFrame:
     """Sales an incremental run still has to count.
 
     ``as_of``: the half-open range from the previous run's evaluation time to this one's, so any split of a
     history adds up to the full run. ``snapshot_date``: everything after midnight of the previous run's day,
-    which counts that day again (kept for parity with the earlier platform).
+    which counts that day again (kept for parity with the earlier platform). ``undated`` adds the sales without a
+    date, for callers whose ``sales`` hold new arrivals only: among all sales nothing tells whether they are new.
     """
     if boundary not in BOUNDARIES:
         raise ValueError(f"boundary must be one of {BOUNDARIES}")
     sold = F.col("sale_date")
-    if boundary == "as_of":
-        return sales.where((sold >= at(previous)) & (sold < at(as_of)))
-    return sales.where(sold > cut("day", at(previous)))
+    recent = (sold >= at(previous)) & (sold < at(as_of)) if boundary == "as_of" else sold > cut("day", at(previous))
+    return sales.where(recent | sold.isNull()) if undated else sales.where(recent)
 
 
 def rfm_incremental(
@@ -99,9 +107,10 @@ def rfm_incremental(
     previous: datetime | str,
     as_of: datetime | str,
     boundary: str = "as_of",
+    undated: bool = False,
 ) -> DataFrame:
     """Snapshot from the previous snapshot plus the sales since then; every customer is aged to ``as_of``."""
-    return score(merge_base(previous_snapshot, new_since(sales, previous, as_of, boundary)), as_of)
+    return score(merge_base(previous_snapshot, new_since(sales, previous, as_of, boundary, undated)), as_of)
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:

@@ -80,9 +80,17 @@ def merge_upsert(
     return joined.select(*[column(name) for name in target.columns])
 
 
-def insert_if_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``INSERT ... ON CONFLICT DO NOTHING``: existing rows win."""
-    fresh = updates.join(target.select(*keys), list(keys), "left_anti")
+def insert_if_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """``INSERT ... ON CONFLICT DO NOTHING``: existing rows win, and of updates with one key the first by ``order``.
+
+    Without ``order`` the columns themselves decide, so the result is the same on every run. NULL keys never conflict.
+    """
+    ranked = Window.partitionBy(*keys, "_spread").orderBy(*(order or updates.columns))
+    single = (
+        _with_spread(updates, keys).withColumn("_n", F.row_number().over(ranked))
+        .where((F.col("_n") == 1) | _any_null(keys)).drop("_n", "_spread")
+    )
+    fresh = single.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

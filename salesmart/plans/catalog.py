@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, fast_track, marts, quality, recommend, rfm, silver, stock, upsert
+from salesmart.operators.gram import gram, pack_rows
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
 from salesmart.sources.external import send_stream
@@ -22,9 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 CARDS_AS_OF = "2024-01-30 18:00:00"
 SALES_DAY = "2024-01-15"
 STOCK_FROM, STOCK_TO = "2024-01-15 12:00:00", "2024-01-15 18:00:00"
-RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-06-01 23:00:00"
+RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-08-01 23:00:00"  # the last after the last order
 RFM_STALE_BEFORE = "2001-03-01 00:00:00"
-EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-15 23:00:00"
+EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-31 23:00:00"  # the last after the last event
 CF_CUSTOMER = 1
 ITEM_IDS = [-1, *range(100)]  # the sample's product ids: the unknown one and 0 … 99
 
@@ -140,7 +141,7 @@ def _orders_before(spark, sf_dir, moment) -> DataFrame:
 
 def _two_snapshots(spark, sf_dir) -> DataFrame:
     orders = samples.order_sales(spark, sf_dir)
-    return rfm.rfm_full(orders, RFM_PREVIOUS).unionByName(rfm.rfm_full(orders, RFM_AS_OF))
+    return rfm.rfm_full(orders, RFM_PREVIOUS, "as_of").unionByName(rfm.rfm_full(orders, RFM_AS_OF))
 
 
 @query
@@ -157,7 +158,7 @@ def rfm_delta(spark, sf_dir):
 def rfm_incremental(spark, sf_dir):
     """Half-open ranges: equals the full run."""
     sales = samples.sales_enriched(spark, sf_dir)
-    previous = rfm.rfm_full(sales, EDGE_PREVIOUS)
+    previous = rfm.rfm_full(sales, EDGE_PREVIOUS, "as_of")
     return rfm.rfm_incremental(previous, sales, EDGE_PREVIOUS, EDGE_AS_OF)
 
 
@@ -165,7 +166,7 @@ def rfm_incremental(spark, sf_dir):
 def rfm_incremental_snapshot_date(spark, sf_dir):
     """The snapshot-date boundary: the previous run's day counts twice, and nothing bounds the new rows."""
     sales = samples.sales_enriched(spark, sf_dir)
-    previous = rfm.rfm_full(sales, EDGE_PREVIOUS)
+    previous = rfm.rfm_full(sales, EDGE_PREVIOUS, "as_of")
     return rfm.rfm_incremental(previous, sales, EDGE_PREVIOUS, EDGE_AS_OF, boundary="snapshot_date")
 
 
@@ -189,7 +190,7 @@ def upsert_mart_account(spark, sf_dir):
     """History of two days; the second day was first written from incomplete data."""
     orders = samples.order_sales(spark, sf_dir)
     stale = rfm.score(rfm.rfm_base(_orders_before(spark, sf_dir, RFM_STALE_BEFORE)), RFM_AS_OF)
-    history = marts.mart_account(rfm.rfm_full(orders, RFM_PREVIOUS), RFM_PREVIOUS)
+    history = marts.mart_account(rfm.rfm_full(orders, RFM_PREVIOUS, "as_of"), RFM_PREVIOUS)
     target = history.unionByName(marts.mart_account(stale, RFM_AS_OF))
     updates = marts.mart_account(rfm.rfm_full(orders, RFM_AS_OF), RFM_AS_OF)
     return upsert.merge_upsert(target, updates, marts.ACCOUNT_KEYS, marts.ACCOUNT_UPDATES, keys_unique=True)
@@ -265,7 +266,8 @@ def insert_if_absent(spark, sf_dir):
     present = products.where(F.col("category") != "SMALL").withColumn(
         "product_name", F.concat("product_name", F.lit(" (old)"))
     )
-    return upsert.insert_if_absent(present, products, ["product_id"])
+    twice = products.union(products.withColumn("product_name", F.concat("product_name", F.lit(" (again)"))))
+    return upsert.insert_if_absent(present, twice, ["product_id"], ["product_name"])
 
 
 # --- affinity and recommendations ------------------------------------------------------------------------------
@@ -339,6 +341,25 @@ def cf_recommendations(spark, sf_dir):
     return recommend.recommend(samples.sales_enriched(spark, sf_dir))
 
 
+@query
+def cf_recommendations_one_factor(spark, sf_dir):
+    """The same with a single factor, which SQL can follow by power iteration."""
+    return _recommendation_mart(spark, sf_dir)
+
+
+@query
+def spend_gram(spark, sf_dir):
+    """For every two products the sum over customers of the products of their spends, in the operator's matrix form."""
+    spend = materialize(recommend.user_item_spend(samples.sales_enriched(spark, sf_dir)))
+    items = materialize(affinity.number_items(spend.select("product_id").distinct(), "product_id"))
+    cells = spend.join(items, "product_id").select("customer_id", "item", F.col("spend").cast("double").alias("spend"))
+    sums = gram(pack_rows(cells, "customer_id", "item", "spend"))
+    one, two = (items.select(F.col("item").alias(i), F.col("product_id").alias(p)) for i, p in (("i", "_p"), ("j", "_q")))
+    return sums.join(one, "i").join(two, "j").select(
+        F.least("_p", "_q").alias("product_a"), F.greatest("_p", "_q").alias("product_b"),
+        F.round("x", 4).cast("decimal(24,4)").alias("total"))
+
+
 # --- dashboards ------------------------------------------------------------------------------------------------
 
 
@@ -348,12 +369,8 @@ def _account_mart(spark, sf_dir) -> DataFrame:
 
 
 def _recommendation_mart(spark, sf_dir) -> DataFrame:
-    """The five biggest spends per customer in the shape of the recommendation mart: SQL can check it."""
-    sales = samples.sales_enriched(spark, sf_dir)
-    top = recommend.top_per_customer(recommend.user_item_spend(sales), score="spend")
-    return top.join(recommend.product_names(sales), "product_id").select(
-        "customer_id", "product_id", "product_name", F.col("spend").cast("decimal(18,4)").alias("score"), "rank"
-    )
+    """Recommendations by one factor: real ones, and SQL can check them."""
+    return recommend.recommend(samples.sales_enriched(spark, sf_dir), factors=1)
 
 
 def _card(name: str, build: Callable[[DataFrame], DataFrame], mart: Query) -> None:
@@ -417,6 +434,13 @@ def _event_stream(spark, sf_dir) -> DataFrame:
     return samples.sales_from_events(files)
 
 
+def _silver_stream(spark, sf_dir) -> DataFrame:
+    """The cleaned and enriched sales as a stream of files, as the marts' streams read them."""
+    clean, folder = samples.sales_enriched(spark, sf_dir), f"{_sink(spark)}/silver"
+    clean.write.parquet(folder)
+    return spark.readStream.schema(clean.schema).parquet(folder)
+
+
 def _sink(spark) -> str:
     return f"{run_folder(spark)}/stream-{uuid.uuid4().hex}"
 
@@ -457,20 +481,19 @@ def stream_sales_once(spark, sf_dir):
 
 @query
 def stream_hourly_revenue(spark, sf_dir):
-    """Hours that the watermark, one hour behind the newest event, has closed."""
-    enriched = silver.enrich(_event_stream(spark, sf_dir), samples.products(spark, sf_dir))
-    return _drained(spark, flows.hourly_revenue(enriched))
+    """Hours that the watermark, one hour behind the newest sale, has closed."""
+    return _drained(spark, flows.hourly_revenue(_silver_stream(spark, sf_dir)))
 
 
 @query
 def stream_stock_level(spark, sf_dir):
     wh = _stream_warehouse(spark, sf_dir)
-    flows.stream_stock(wh, _event_stream(spark, sf_dir), f"{wh.root}/checkpoint").awaitTermination()
+    flows.stream_stock(wh, _silver_stream(spark, sf_dir), f"{wh.root}/checkpoint").awaitTermination()
     return wh.latest_or_empty("inventory").select("product_id", "stock_qty", "restock_threshold")
 
 
 @query
 def stream_rfm_totals(spark, sf_dir):
-    folder, stream = _sink(spark), _event_stream(spark, sf_dir)
-    flows.stream_rfm(stream.where("customer_id is not null"), f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    folder, stream = _sink(spark), _silver_stream(spark, sf_dir)
+    flows.stream_rfm(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
     return flows.rfm_totals(spark, f"{folder}/rows")

@@ -120,6 +120,7 @@ def rfm_snapshot(
     sales = wh.read("silver.sales_enriched")
     previous = None if full else wh.latest("silver.rfm_snapshot", before=version)
     if previous is None:
+        # "as_of" keeps runs that are repeated later from counting sales of their future.
         snapshot = rfm.rfm_full(sales, as_of, boundary)
     else:
         then = previous.agg(F.max("as_of")).first()[0]

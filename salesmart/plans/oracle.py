@@ -110,7 +110,7 @@ def _base(source: str, where: str) -> str:
 
 
 _VIEWS["rfm_previous"] = _scored(_base("order_sales", f"sale_date < TIMESTAMP '{RFM_PREVIOUS}'"), RFM_PREVIOUS)
-_VIEWS["rfm_now"] = _scored(_base("order_sales", f"sale_date < TIMESTAMP '{RFM_AS_OF}'"), RFM_AS_OF)
+_VIEWS["rfm_now"] = _scored(_base("order_sales", "true"), RFM_AS_OF)
 _VIEWS["mart_account"] = """
         SELECT customer_id, segment, frequency, monetary, recency_days, snapshot_date
         FROM (SELECT * FROM rfm_previous UNION ALL SELECT * FROM rfm_now)"""
@@ -150,9 +150,25 @@ _VIEWS["names"] = """
             SELECT product_id, product_name,
                    row_number() OVER (PARTITION BY product_id ORDER BY customer_id, sale_date, sale_id) AS rn
             FROM sales_enriched) WHERE rn = 1"""
+_VIEWS["spend_gram"] = """
+        SELECT a.product_id AS i, b.product_id AS j, SUM(CAST(a.spend AS DOUBLE) * CAST(b.spend AS DOUBLE)) AS x
+        FROM spend a JOIN spend b ON a.customer_id = b.customer_id GROUP BY 1, 2"""
+_VIEWS["factor_0"] = "SELECT DISTINCT product_id, CAST(1 AS DOUBLE) AS v FROM spend"
+for _step in range(1, 25):  # power iteration: the spend of all customers has one dominant direction
+    _VIEWS[f"factor_{_step}"] = f"""
+        SELECT product_id, y / sqrt(SUM(y * y) OVER ()) AS v
+        FROM (SELECT i AS product_id, SUM(x * v) AS y FROM spend_gram JOIN factor_{_step - 1} f ON f.product_id = j GROUP BY i)"""
 _VIEWS["recommendations"] = """
-        SELECT t.customer_id, t.product_id, n.product_name, CAST(t.spend AS DECIMAL(18,4)) AS score, t."rank"
-        FROM top5 t JOIN names n ON n.product_id = t.product_id"""
+        SELECT r.customer_id, r.product_id, n.product_name,
+               CAST(ROUND(r.score, 4) AS DECIMAL(18,4)) AS score, r."rank"
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, product_id) AS INT) AS "rank"
+              FROM (SELECT p.customer_id, f.product_id, p.s * f.v AS score
+                    FROM (SELECT customer_id, SUM(CAST(spend AS DOUBLE) * v) AS s
+                          FROM spend JOIN factor_24 USING (product_id) GROUP BY customer_id) p
+                    CROSS JOIN factor_24 f
+                    WHERE NOT EXISTS (SELECT 1 FROM spend b WHERE b.customer_id = p.customer_id
+                                      AND b.product_id = f.product_id))) r
+        JOIN names n ON n.product_id = r.product_id WHERE r."rank" <= 5"""
 
 _WITH = "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items()) + "\n"
 
@@ -249,7 +265,7 @@ _SQL = {
                CAST(SUM(amount) AS DECIMAL(20,2)) AS monetary
         FROM order_sales WHERE sale_date >= TIMESTAMP '{RFM_PREVIOUS}' AND sale_date < TIMESTAMP '{RFM_AS_OF}'
         GROUP BY customer_id""",
-    "rfm_incremental": _scored(_base("sales_enriched", f"sale_date < TIMESTAMP '{EDGE_AS_OF}'"), EDGE_AS_OF),
+    "rfm_incremental": _scored(_base("sales_enriched", "true"), EDGE_AS_OF),
     "rfm_incremental_snapshot_date": _incremental(f"sale_date > date_trunc('day', TIMESTAMP '{EDGE_PREVIOUS}')"),
     "rfm_latest_snapshot": """
         SELECT * FROM (SELECT * FROM rfm_previous UNION ALL SELECT * FROM rfm_now)
@@ -322,6 +338,9 @@ _SQL = {
         SELECT customer_id, product_id FROM sales_enriched
         EXCEPT SELECT customer_id, product_id FROM sales_enriched WHERE event_type = 'purchase'""",
     "spend_top5_per_customer": 'SELECT customer_id, product_id, spend, "rank" FROM top5',
+    "spend_gram": """
+        SELECT i AS product_a, j AS product_b, CAST(ROUND(x, 4) AS DECIMAL(24,4)) AS total FROM spend_gram WHERE i <= j""",
+    "cf_recommendations_one_factor": 'SELECT customer_id, product_id, product_name, score, "rank" FROM recommendations',
     # dashboards
     "card_store_revenue_7d": _revenue_and_orders("store_id", "store_id", _last("sale_hour", "7 DAYS")),
     "card_sales_trend_30d": _revenue_and_orders("date_trunc('day', sale_hour)", '"date"', _last("sale_hour", "30 DAYS")),
@@ -406,18 +425,14 @@ _SQL = {
     "stream_sales_once": """
         SELECT DISTINCT sale_id FROM raw_sales
         WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL""",
-    "stream_hourly_revenue": f"""
-        SELECT * FROM (
-            SELECT store_id, COALESCE(category, 'Unknown') AS category, date_trunc('hour', sale_date) AS sale_hour,
-                   {_MONEY.format('SUM(amount)')} AS total_revenue, COUNT(*) AS order_count,
-                   {_mean('SUM(amount)', 'COUNT(*)', 2, 10)} AS avg_order_value
-            FROM raw_sales r LEFT JOIN products p ON p.product_id = r.product_id GROUP BY 1, 2, 3)
-        WHERE sale_hour + INTERVAL 1 HOUR <= (SELECT MAX(sale_date) FROM raw_sales) - INTERVAL 1 HOUR""",
+    "stream_hourly_revenue": """
+        SELECT * FROM mart_sales
+        WHERE sale_hour + INTERVAL 1 HOUR <= (SELECT MAX(sale_date) FROM sales_enriched) - INTERVAL 1 HOUR""",
     "stream_stock_level": """
         SELECT i.product_id, CAST(greatest(i.stock_qty - COALESCE(s.n, 0), 0) AS INT) AS stock_qty, i.restock_threshold
-        FROM inventory i LEFT JOIN (SELECT product_id, COUNT(*) AS n FROM raw_sales GROUP BY product_id) s
+        FROM inventory i LEFT JOIN (SELECT product_id, COUNT(*) AS n FROM sales_enriched GROUP BY product_id) s
           ON s.product_id = i.product_id""",
-    "stream_rfm_totals": _base("raw_sales", "customer_id IS NOT NULL"),
+    "stream_rfm_totals": _base("sales_enriched", "true"),
 }
 
 

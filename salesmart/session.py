@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,16 +42,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only in local mode, where driver and executors are one process; on a cluster a
-    missing setting is an error, because a machine-local folder does not survive a lost executor.
+    A missing setting is an error: a folder of one machine does not survive a lost executor.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="salesmart-checkpoint-")
-        context.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
     return folder
 
 

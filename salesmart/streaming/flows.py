@@ -72,7 +72,8 @@ def _first_per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def once_per_sale(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """One complete row per sale id across batches, for repeats that arrive within ``lateness`` of each other.
+    """One complete row per sale id across batches, for repeats that arrive within ``lateness`` of each other; of
+    repeats in one batch, any.
 
     Spark's stateful operator ships every row to its key. Repeats inside an Arrow batch are dropped before that,
     with the same result, so an id that fills a third of a stream sends one row per batch. State is dropped once
@@ -85,7 +86,11 @@ def once_per_sale(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
 
 
 def deduplicated(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """The same with amounts checked afterwards: a first row with a bad amount still takes its repeats along."""
+    """The same with amounts checked afterwards.
+
+    Which of an id's rows is met first is up to the tasks: where repeats differ in their amount, use ``stream_silver``,
+    which keeps the first arrival.
+    """
     return quality.keep_positive(once_per_sale(stream, lateness))
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -21,6 +22,8 @@ def spark():
         spark_driver_memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
     yield session
     session.stop()
 

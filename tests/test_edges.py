@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from salesmart.functions.expressions import at, elapsed_days, exact_mean, exact_ratio, rfm_segment
-from salesmart.operators import affinity, marts, quality, rfm, silver, stock, upsert
+from salesmart.operators import affinity, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.fast_track import fast_track_filter, fast_track_messages
 
 SALE = "sale_id string, customer_id bigint, store_id bigint, product_id bigint, amount decimal(10,2), sale_date timestamp_ntz"
@@ -197,13 +197,13 @@ def history(spark):
 @pytest.mark.parametrize("split", ["2024-01-01 08:00:00", "2024-01-10 23:00:00", "2024-01-11 00:00:00", "2024-01-11 23:00:00"])
 def test_incremental_equals_full_for_any_split(spark, split):
     as_of, rows = "2024-01-12 23:00:00", history(spark)
-    step = rfm.rfm_incremental(rfm.rfm_full(rows, split), rows, split, as_of)
-    assert sorted(map(tuple, step.collect())) == sorted(map(tuple, rfm.rfm_full(rows, as_of).collect()))
+    step = rfm.rfm_incremental(rfm.rfm_full(rows, split, "as_of"), rows, split, as_of)
+    assert sorted(map(tuple, step.collect())) == sorted(map(tuple, rfm.rfm_full(rows, as_of, "as_of").collect()))
 
 
 def test_snapshot_date_boundary_counts_the_day_again(spark):
     rows = history(spark)
-    first = rfm.rfm_full(rows, "2024-01-11 23:00:00")
+    first = rfm.rfm_full(rows, "2024-01-11 23:00:00", "as_of")
     again = rfm.rfm_incremental(first, rows, "2024-01-11 23:00:00", "2024-01-12 23:00:00", boundary="snapshot_date")
     got = {r.customer_id: (r.frequency, r.monetary) for r in again.collect()}
     # customer 2's midnight sale is not after midnight, customer 1's evening sale counts twice
@@ -255,7 +255,7 @@ def brute_rules(sets, threshold, confidence):
 def test_rules_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr("salesmart.operators.gram.BLOCK", block)
     monkeypatch.setattr("salesmart.operators.gram.CHUNK", 3)
-    monkeypatch.setattr("salesmart.operators.gram.HELD_BLOCKS", 2)
+    monkeypatch.setattr("salesmart.operators.gram.HELD_CELLS", 6)
     sets = ["abc", "ab", "abd", "ac", "bcd", "abce", "de", "aab", "cd", "abcde"]
     got = {
         (r.antecedent, r.consequent): tuple(map(float, (r.support, r.confidence, r.lift)))
@@ -290,3 +290,32 @@ def test_exact_confidence_passes_the_cut(spark):
 def test_unnamed_products_are_in_no_basket(spark):
     df = baskets(spark, "ab").withColumn("product_name", F.when(F.col("product_name") == "a", F.col("product_name")))
     assert affinity.customer_basket(df).count() == 1
+
+
+def test_sales_without_a_date_count_in_a_full_scan(spark):
+    rows = spark.sql("""
+        SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-10 00:00:00', 5.00BD), (1, NULL, 7.00BD), (2, NULL, 1.00BD),
+               (1, TIMESTAMP_NTZ '2024-02-01 00:00:00', 2.00BD) AS t(customer_id, sale_date, amount)""")
+    full = {r.customer_id: (r.frequency, str(r.monetary)) for r in rfm.rfm_full(rows, "2024-01-12 23:00:00").collect()}
+    assert full == {1: (3, "14.00"), 2: (1, "1.00")}
+    replay = {r.customer_id: r.frequency for r in rfm.rfm_full(rows, "2024-01-12 23:00:00", "as_of").collect()}
+    assert replay == {1: 2, 2: 1}
+    new = rfm.new_since(rows, "2024-01-11", "2024-02-02", undated=True)
+    delta = {r.customer_id: (r.frequency, str(r.monetary)) for r in rfm.rfm_delta(new).collect()}
+    assert delta == {1: (1, "9.00"), 2: (0, "1.00")}  # spend, but no frequency
+    assert rfm.new_since(rows, "2024-01-11", "2024-02-02").count() == 1
+
+
+def test_insert_if_absent_keeps_one_of_repeated_updates(spark):
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    updates = spark.createDataFrame([(2, "y"), (2, "x"), (1, "z"), (None, "a"), (None, "a")], "k int, v string")
+    got = sorted(map(tuple, upsert.insert_if_absent(target, updates, ["k"], ["v"]).collect()), key=str)
+    assert got == sorted([(1, "old"), (2, "x"), (None, "a"), (None, "a")], key=str)
+
+
+def test_pivot_refuses_products_that_are_not_listed(spark):
+    sales = spark.createDataFrame([(1, 10, 2.5), (1, 20, 1.0)], "customer_id int, product_id int, amount double").selectExpr(
+        "customer_id", "product_id", "cast(amount as decimal(10,2)) amount")
+    assert recommend.user_item_pivot(sales, [10, 20]).count() == 1
+    with pytest.raises(Exception, match="product not in the list: 20"):
+        recommend.user_item_pivot(sales, [10]).collect()
