@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, fast_track, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.gram import gram, pack_rows
+from salesmart.schemas import LAKE_PARTITIONS
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
 from salesmart.sources.external import send_stream
@@ -49,10 +50,12 @@ def all_queries() -> dict[str, Query]:
 
 @query
 def scan_hour_partition(spark, sf_dir):
-    """Raw rows of one ingest hour; a run at 13:00 ingests the sales of the hour before."""
+    """Raw rows of one ingest hour, from the sample as a partitioned lake; a run at 13:00 ingests the hour before."""
     ingested = cut("hour", F.col("sale_date")) + F.expr("INTERVAL 1 HOUR")
     raw = lake.with_partitions(samples.raw_sales(spark, sf_dir), ingested)
-    return lake.hour_of(raw, "2024-01-15 13:00:00").drop("event_type")
+    root = f"{_sink(spark)}/lake"
+    raw.repartition(*LAKE_PARTITIONS).write.partitionBy(*LAKE_PARTITIONS).parquet(root)
+    return lake.read_hour(spark, root, "2024-01-15 13:00:00").drop("_file", "_row")
 
 
 @query

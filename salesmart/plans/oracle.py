@@ -220,7 +220,7 @@ _BY_URGENCY = "ORDER BY CASE status WHEN 'CRITICAL' THEN 1 WHEN 'LOW' THEN 2 ELS
 
 _SQL = {
     "scan_hour_partition": """
-        SELECT sale_id, customer_id, store_id, product_id, amount, sale_date, arrival_seq,
+        SELECT sale_id, customer_id, store_id, product_id, amount, sale_date,
                '2024' AS "year", '01' AS "month", '15' AS "day", '13' AS "hour"
         FROM raw_sales WHERE date_trunc('hour', sale_date) = TIMESTAMP '2024-01-15 12:00:00'""",
     "quality_not_null": f"""

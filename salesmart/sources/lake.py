@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,14 +118,41 @@ def read_hour(spark: SparkSession, root: str, run_at: datetime | str) -> DataFra
     return _ordered(spark, scan_or_none(spark, path, None, basePath=root))
 
 
-def read_lake(spark: SparkSession, root: str, skip_corrupt: bool = False) -> DataFrame:
-    """All lake files with their arrival order. ``skip_corrupt`` leaves out unreadable files, as a rebuild does.
+def lake_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of all parquet files below ``root``; their contents are not read."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(row.path for row in files.collect())
 
-    Skipping needs the schema of the readable files: Spark merges it from all footers in a distributed job, so
-    one broken file cannot hide the others, and files of conflicting types raise an error.
+
+def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of ``paths`` that cannot be read to their end.
+
+    All files are read at once; where that fails, each half again, so a few broken files among many cost some passes
+    over ever smaller parts and no job for every file.
     """
-    options = {"ignoreCorruptFiles": "true", "mergeSchema": "true"} if skip_corrupt else {}
-    return _ordered(spark, scan_or_none(spark, root, None, **options))
+    if not paths:
+        return []
+    try:
+        spark.read.parquet(*paths).write.format("noop").mode("overwrite").save()
+        return []
+    except (PySparkException, Py4JJavaError):  # a broken footer fails in the driver's own job
+        if len(paths) == 1:
+            return list(paths)
+    middle = len(paths) // 2
+    return unreadable_files(spark, paths[:middle]) + unreadable_files(spark, paths[middle:])
+
+
+def read_lake(spark: SparkSession, root: str, skip: Sequence[str] = ()) -> DataFrame:
+    """All lake files with their arrival order, but for those in ``skip``, which stay out whole."""
+    if not skip:
+        return _ordered(spark, scan_or_none(spark, root, None))
+    paths = [path for path in lake_files(spark, root) if path not in set(skip)]
+    return _ordered(spark, spark.read.option("basePath", root).parquet(*paths) if paths else None)
 
 
 def copy_hour(spark: SparkSession, raw_root: str, bronze_root: str, run_at: datetime | str) -> bool:

@@ -136,6 +136,7 @@ def test_rebuild_equals_hourly_silver_and_skips_bad_files(two_days, spark, sf, t
     check = jobs.rebuild_silver(wh, "2024-03-01 00:00:00").first()
     assert rows(wh.read("silver.sales_enriched")) == rows(two_days.read("silver.sales_enriched"))
     assert check.total == wh.read("silver.sales_enriched").count() and check.has_name < check.total
+    assert len(check.skipped_files) == 1
 
 
 def test_rebuild_needs_products(spark, tmp_path):
