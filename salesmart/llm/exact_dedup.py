@@ -60,7 +60,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         .withColumn("exact", F.when(F.col("unclear"), F.col("text_sha256")).otherwise("")).drop("unclear")
     )
     first = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("low"))).alias("first")
-    groups = rows.groupBy("recipe_key", "recipe", "exact").agg(first, F.count("*").alias("group_size"))
+    # Written out, so that both sides of the join are plain shuffles, of which a hot recipe's can be split.
+    groups = materialize(rows.groupBy("recipe_key", "recipe", "exact").agg(first, F.count("*").alias("group_size")))
     return rows.join(groups, ["recipe_key", "recipe", "exact"]).select(
         "doc_id",
         F.bitwise_not("first.low").alias("keep_id"),
