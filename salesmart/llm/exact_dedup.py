@@ -50,19 +50,22 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     execution splits.
     """
     rows = materialize(recipes(docs))
+    first = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("low"))).alias("first")
+    # One row for each recipe and text hash, combined before the shuffle: a hot recipe is one row from here on.
+    distinct = materialize(
+        rows.groupBy("recipe_key", "recipe", "text_sha256").agg(first, F.count("*").alias("n")))
     unclear = (
-        rows.select("recipe_key", F.explode("recipe").alias("chunk_id")).distinct()
+        distinct.select("recipe_key", F.explode("recipe").alias("chunk_id")).distinct()
         .join(ambiguous_chunks(docs), "chunk_id", "left_semi").select("recipe_key").distinct()
     )
-    # Written out, so that this join can be split at a hot recipe and the next step combines before its shuffle.
-    rows = materialize(
-        rows.join(unclear.withColumn("unclear", F.lit(True)), "recipe_key", "left")
-        .withColumn("exact", F.when(F.col("unclear"), F.col("text_sha256")).otherwise("")).drop("unclear")
-    )
-    first = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("low"))).alias("first")
-    # Written out, so that both sides of the join are plain shuffles, of which a hot recipe's can be split.
-    groups = materialize(rows.groupBy("recipe_key", "recipe", "exact").agg(first, F.count("*").alias("group_size")))
-    return rows.join(groups, ["recipe_key", "recipe", "exact"]).select(
+    exact = F.when(F.col("unclear"), F.col("text_sha256")).otherwise("")
+    distinct = materialize(distinct.join(unclear.withColumn("unclear", F.lit(True)), "recipe_key", "left").select(
+        "recipe_key", "recipe", "text_sha256", "first", "n", exact.alias("exact")))
+    groups = distinct.groupBy("recipe_key", "recipe", "exact").agg(
+        F.max("first").alias("first"), F.sum("n").alias("group_size"))
+    # Written out, so that both sides of the last join are plain shuffles, of which a hot recipe's can be split.
+    groups = materialize(distinct.drop("first", "n").join(groups, ["recipe_key", "recipe", "exact"]).drop("exact"))
+    return rows.join(groups, ["recipe_key", "recipe", "text_sha256"]).select(
         "doc_id",
         F.bitwise_not("first.low").alias("keep_id"),
         "group_size",
