@@ -3,7 +3,8 @@
 A token of mixed characters is taken for text in the smallest encoding that allows it. Three tests ask whether it could
 be a uniform draw from that alphabet: chi-squared counts, runs of low and high characters, and the correlation of
 neighbours. Their sum gives a p-value. Random tokens spread evenly over p, made-up names crowd near 0, so for each
-encoding and length the corpus itself shows which level keeps the share of false discoveries below RATE.
+encoding and length the corpus itself shows which level keeps the share of false discoveries below RATE. Copies of a
+token count once there, and lengths with few tokens borrow from their neighbours.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS, HEX, TOKEN = r"AKIA[A-Z0-9]+", r"[0-9a-f]+", r"[A-Za-z0-9+/_-]{20,}={0,2}"
 #: The largest share of false discoveries, and the levels tried from the lowest.
 RATE, LEVELS = 0.1, [0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5]
+#: Distinct tokens over the lowest level that an estimate needs.
+FEW = 100
 
 #: Encodings from the smallest alphabet: name, pattern of a whole token, characters in order.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -111,16 +114,45 @@ def battery(frame: DataFrame) -> DataFrame:
     return ready.withColumn("q", q).withColumn("p", p).select(*frame.columns, "encoding", "p")
 
 
+def _level(over: list[float]) -> float | None:
+    """The lowest of LEVELS whose discoveries are estimated to hold at most RATE false ones, from the tokens over each."""
+    for a, n in zip(LEVELS, over):
+        if n > 0 and 1 - 2 * (1 - a) * over[-1] / n <= RATE:
+            return a
+    return None
+
+
+def pooled(counts: dict[tuple[str, int], list[float]]) -> dict[tuple[str, int], float]:
+    """A level for each (encoding, bin) of ``counts``, the distinct tokens over each of LEVELS.
+
+    A bin of fewer than FEW tokens over the lowest level borrows from the nearest bins of its encoding until there are so
+    many. Where the whole encoding has fewer, nothing speaks against its tokens: the missing ones count as random.
+    """
+    found = {}
+    for encoding, own in counts:
+        over = [0.0] * len(LEVELS)
+        bins = sorted((b for e, b in counts if e == encoding), key=lambda b: (abs(b - own), b))
+        for b in bins:
+            if over[0] >= FEW:
+                break
+            over = [x + y for x, y in zip(over, counts[encoding, b])]
+        missing = max(0.0, FEW - over[0])
+        if (level := _level([x + missing * (1 - a) for x, a in zip(over, LEVELS)])) is not None:
+            found[encoding, own] = level
+    return found
+
+
 def levels(tests: DataFrame) -> DataFrame:
-    """(encoding, bin, level) from (encoding, bin, p): the lowest level whose discoveries, tokens with p over it, are
-    estimated to hold at most RATE false ones. Twice the tokens over one half is how many are random."""
+    """(encoding, bin, level) from (encoding, bin, p, token): the lowest level whose discoveries, tokens with p over it,
+    are estimated to hold at most RATE false ones. Twice the tokens over one half is how many are random. Every distinct
+    token counts once, however often it is copied; ``token`` may be a hash."""
     over = [F.sum((F.col("p") >= a).cast("double")).alias(f"n{i}") for i, a in enumerate(LEVELS)]
-    counts = tests.where("encoding is not null").groupBy("encoding", "bin").agg(*over)
-    level = F
-    for i, a in enumerate(LEVELS):
-        random = 2 * (1 - a) * F.col(f"n{len(LEVELS) - 1}")
-        level = level.when((F.col(f"n{i}") > 0) & (1 - random / F.greatest(F.col(f"n{i}"), F.lit(1.0)) <= RATE), a)
-    return counts.select("encoding", "bin", level.alias("level")).where("level is not null")
+    distinct = tests.where("encoding is not null").select("encoding", "bin", "token", "p").distinct()
+    counts = {(r["encoding"], r["bin"]): list(r[2:]) for r in distinct.groupBy("encoding", "bin").agg(*over).collect()}
+    rows = [F.struct(F.lit(e).alias("encoding"), F.lit(b).cast("long").alias("bin"), F.lit(a).alias("level"))
+            for (e, b), a in pooled(counts).items()]
+    rows = F.array(*rows).cast("array<struct<encoding:string,bin:bigint,level:double>>")
+    return tests.sparkSession.range(1).select(F.inline(rows))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
@@ -129,11 +161,12 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     Spans are kind:start:end in code points, end exclusive, by start and then kind. Matches of each fixed kind are the
     leftmost non-overlapping ones, of which too short ones are dropped; ``random`` spans are added where no fixed span
     overlaps. A null or empty text has none. Rows that repeat a doc_id are rows of their own; an empty table gives an
-    empty result. No secret is written to the intermediate tables, only places and p-values.
+    empty result. No secret is written to the intermediate tables, only places,
+    p-values and 64-bit hashes of the tokens.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _candidates(whole("text")).alias("found"))
     tested = battery(rows.select("row", "doc_id", F.explode_outer("found").alias("f")).select("row", "doc_id", "f.*"))
-    tested = materialize(tested.drop("token"))
+    tested = materialize(tested.withColumn("token", F.when(F.col("token").isNotNull(), F.xxhash64("token"))))
     order = Window.partitionBy("row", "kind").orderBy("number")
     start = F.sum("gap").over(order) + F.sum("size").over(order) - F.col("size")
     # Lengths in steps of a quarter of an octave up to 40, then of an octave.

@@ -67,3 +67,39 @@ def test_p_values_of_random_tokens_are_spread(spark):
 def test_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     check([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], secrets.op9_secrets(spark, sf).collect())
+
+
+def drawn(spark, rng, n, size=40):
+    """Random tokens and their p-values."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [("".join(rng.choice(alphabet) for _ in range(size)),) for _ in range(n)]
+    return [(r.token, r.p) for r in secrets.battery(spark.createDataFrame(rows, "token string")).collect()]
+
+
+def spans_of(spark, tokens):
+    docs = spark.createDataFrame([(i, f"see {t} end") for i, t in enumerate(tokens)], "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in secrets.secret_spans(docs).collect()}
+    return [out[i] for i in range(len(tokens))]
+
+
+def test_a_copied_token_counts_once(spark):
+    tokens = drawn(spark, random.Random(11), 400)
+    low = next(t for t, p in tokens if 0.05 < p < 0.2)
+    alone = spans_of(spark, [t for t, _ in tokens])
+    copied = spans_of(spark, [t for t, _ in tokens] + [low] * 3000)
+    assert copied[:400] == alone
+    assert sum(map(bool, alone)) > 360
+
+
+def test_a_copied_random_token_lets_no_made_up_names_in():
+    # 200 made-up names with p from 0.01 to 0.02, 30 random tokens spread evenly: the level stays over the names.
+    over = [30 * (1 - a) + 200 * (a <= 0.01) for a in secrets.LEVELS]
+    assert secrets.pooled({("base62", 20): over})["base62", 20] == 0.02
+
+
+def test_a_lone_token_is_found(spark):
+    rng = random.Random(12)
+    lone = next(t for t, p in drawn(spark, rng, 100, 60) if 0.15 < p < 0.45)
+    assert spans_of(spark, [lone]) == ["random:4:64"]
+    rare = next(t for t, p in drawn(spark, rng, 100, 24) if 0.15 < p < 0.45)
+    assert spans_of(spark, [t for t, _ in drawn(spark, rng, 300)] + [rare])[-1] == "random:4:28"
