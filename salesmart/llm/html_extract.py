@@ -27,6 +27,8 @@ from salesmart.session import materialize
 SAMPLE, PIVOTS, AGREEING = 12, 3, 8
 #: Share of the slot text that the article's node must hold.
 HELD = 0.8
+#: Of boxes with the same path, those with less than this share of the longest one's own text are not the article.
+SHARE = 0.1
 #: Elements nested more deeply than this are read as if they were not nested; their text keeps its order.
 DEEPEST = 250
 
@@ -223,7 +225,8 @@ def _article(tree: Slim, template: set[int]) -> tuple[str, ...]:
 
 
 def induce(pages: list[str]) -> dict:
-    """A wrapper: the path of labels to the article, and (label, text) of template lines inside it."""
+    """A wrapper: the path of labels to the article, (label, text) of template lines to leave out, and ``fixed``, those
+    that tell boxes with the same path apart, also where few pages agree."""
     trees = [Slim(parse(page)) for page in dict.fromkeys(pages)]
     if len(trees) < 2:
         return {}
@@ -240,22 +243,44 @@ def induce(pages: list[str]) -> dict:
                     same[id(a)] = same.get(id(a), 0) + (bool(a.text) and a.text == b.text)
         template = {i for i, n in same.items() if n == len(trees) - 1}
         paths.append(_article(tree, template))
-        if len(trees) >= AGREEING:
-            lines |= {(nodes[i].label, nodes[i].text) for i in template}
+        lines |= {(nodes[i].label, nodes[i].text) for i in template}
     path = []
     for labels in zip(*filter(None, paths)):
         if len(set(labels)) > 1:
             break
         path.append(labels[0])
-    return {"path": path, "lines": sorted(lines)} if path else {}
+    return {"path": path, "lines": sorted(lines if len(trees) >= AGREEING else ()), "fixed": sorted(lines)} if path else {}
 
 
-def _follow(node: Node, path: list[str]) -> Node | None:
+def _follow(node: Node, path: list[str]) -> list[Node]:
+    """All nodes whose labels fit ``path``, in page order."""
     if node.label != path[0]:
-        return None
+        return []
     if len(path) == 1:
-        return node
-    return next((found for kid in blocks_of(node) if (found := _follow(kid, path[1:]))), None)
+        return [node]
+    return [found for kid in blocks_of(node) for found in _follow(kid, path[1:])]
+
+
+def _own_size(node: Node, fixed: set[tuple[str, str]]) -> int:
+    """The length of the text in a node that is neither template nor dropped."""
+    size, queue = 0, [node]
+    while queue:
+        node = queue.pop()
+        if not node.dropped:
+            text = own_text(node)
+            size += len(text) if (node.label, text) not in fixed else 0
+            queue.extend(blocks_of(node))
+    return size
+
+
+def _boxes(tree: Node, wrapper: dict) -> list[Node]:
+    """The article's nodes: where several boxes fit the path, those with own text, none far shorter than the longest."""
+    found = _follow(tree, wrapper["path"]) if wrapper else []
+    if len(found) > 1:
+        fixed = {tuple(line) for line in wrapper.get("fixed", ())}
+        sizes = [_own_size(node, fixed) for node in found]
+        found = [node for node, size in zip(found, sizes) if size and size >= SHARE * max(sizes)]
+    return [node for node in found if node is not tree]
 
 
 def _marked_up(root: Node) -> list[Node]:
@@ -294,8 +319,7 @@ def read(page: str | None, wrapper: dict) -> str:
     if not page:
         return ""
     tree = parse(page)
-    found = _follow(tree, wrapper["path"]) if wrapper else None
-    roots = [found] if found and found is not tree else _marked_up(tree)
+    roots = _boxes(tree, wrapper) or _marked_up(tree)
     lines = {tuple(line) for line in wrapper.get("lines", ())}
     blocks: list[str] = []
 

@@ -68,3 +68,22 @@ def test_rows(spark):
     out = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in x.extract(docs).collect()), key=str)
     assert out == sorted([(1, "http://h.com/a", "a", 1), (1, "http://h.com/a", "a", 1), (None, None, "b", 1), (2, "http://h.com/b", "", 0)], key=str)
     assert x.extract(docs.where("false")).count() == 0
+
+
+def boxes(i, kinds=("<div>", "<div>", "<div>"), halves=1):
+    body = "".join(f"{kinds[-1]}" + "".join(f"<p>Words {n} of part {k} of page {i}, which differ</p>" for n in range(9)) + "</div>"
+                   for k in range(halves))
+    return f"<html><body>{kinds[0]}The daily masthead</div>{kinds[1]}<p>About us, on each page</p></div>{body}</body></html>"
+
+
+def test_article_box_after_equal_siblings():
+    for kinds in (("<div>", "<div>", "<div>"), ("<div class=row>",) * 3, ("<div class=col-3>", "<div class=col-3>", "<div class=col-9>")):
+        for n in (3, 12):
+            pages = [boxes(i, kinds) for i in range(n)]
+            assert x.read(pages[2], x.induce(pages)) == " ".join(f"Words {k} of part 0 of page 2, which differ" for k in range(9))
+
+
+def test_article_over_two_equal_siblings():
+    pages = [boxes(i, halves=1 + i % 2) for i in range(12)]
+    want = " ".join(f"Words {n} of part {k} of page 3, which differ" for k in range(2) for n in range(9))
+    assert x.read(pages[3], x.induce(pages)) == want
