@@ -1,13 +1,14 @@
 """Main text of web pages by wrapper induction.
 
-Some pages of each host are parsed and aligned by simple tree matching. Nodes with the same text in all of them are
+Some distinct pages of each layout of a host are parsed and aligned by simple tree matching. Nodes with the same text in all of them are
 template, the others are slots; the deepest node that holds nearly all slot text outside menus, adverts and the like is
 where the host keeps its article. That place and the template lines inside it are the host's wrapper, which all of its
-pages are read with. A page whose wrapper does not fit, or without same-host pages, is read by its marked-up parts.
+pages are read with; the lines are confirmed over all pages. A page whose wrapper does not fit, or without same-host pages, is read by its marked-up parts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -15,16 +16,18 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import small_batches, table
 from salesmart.llm.urls import split_url
 from salesmart.session import materialize
 
-#: Pages aligned for each host, of these the ones all others are aligned with, and how many must agree before a line
+#: Distinct pages aligned for each layout of a host, of these the ones all others are aligned with, and how many must agree before a line
 #: inside the article counts as template. The wrapper is fitted on this sample; every page is read whole.
 SAMPLE, PIVOTS, AGREEING = 12, 3, 8
+#: Share of all distinct pages of a layout or a host that must have a template line.
+CONFIRMED = 0.9
 #: Share of the slot text that the article's node must hold.
 HELD = 0.8
 #: Of boxes with the same path, those with less than this share of the longest one's own text are not the article.
@@ -355,21 +358,100 @@ def read(page: str | None, wrapper: dict) -> str:
     return " ".join(blocks)
 
 
+def layout(page: Column) -> Column:
+    """A hash of the distinct labels of a page's boxes: pages of one layout have the same."""
+    tags = F.regexp_extract_all(page, F.lit(r"(?i)<(?:div|section|article|main|table|td)(?:\s[^>]*)?>"), F.lit(0))
+    labels = F.transform(tags, lambda t: F.concat_ws(
+        ".", F.lower(F.regexp_extract(t, "^<([a-zA-Z]+)", 1)),
+        F.regexp_replace(F.regexp_extract(t, r"(?i)\sclass\s*=\s*[\"']?([^\"'>]*)", 1), r"\d+", "")))
+    return F.xxhash64(F.array_sort(F.array_distinct(labels)))
+
+
+def line_id(label: str, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{label}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def line_ids(page: str) -> list[int]:
+    """The ids of a page's distinct lines, as the wrappers' lines have them."""
+    found: set[int] = set()
+    queue = [parse(page)]
+    while queue:
+        node = queue.pop()
+        if text := own_text(node):
+            found.add(line_id(node.label, text))
+        if node.tag not in _RAW:
+            queue.extend(blocks_of(node))
+    return list(found)
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON) for hosts of at least two pages, from SAMPLE pages each, drawn by a hash of the id.
+    """(host, layout, wrapper as JSON) from ``pages`` (host, layout, html): one for each layout of a host, and with
+    layout 0 one for the host as a whole, each of SAMPLE distinct pages or fewer, drawn by a hash of the page.
 
-    The draw keeps at most SAMPLE pages of a host in each task before the shuffle, so a host may hold any share of all.
+    A line that all of the drawn pages share is only template if at least CONFIRMED of all distinct pages of the layout, or
+    of the host, have it. The draw is one of hashes, of which each task keeps at most SAMPLE of a group before the shuffle.
     """
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id", F.length("html"))
-    drawn = (
-        pages.where("host <> '' and html is not null").select("host", "page_id", "html")
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
-    )
+    own = pages.where("host <> '' and html is not null").select("host", "layout", F.xxhash64("html").alias("page"), "html")
+    distinct = materialize(own.select("host", "layout", "page").distinct())
+    mixed = distinct.groupBy("host").agg((F.min("layout") < F.max("layout")).alias("mixed")).where("mixed").select("host")
+    whole = F.lit(0).cast("long")
+    # A host of one layout needs no wrappers by layout besides its own.
+    groups = materialize(distinct.withColumn("layout", whole).union(distinct.join(mixed, "host", "left_semi")))
+    order = Window.partitionBy("host", "layout").orderBy(F.xxhash64("page", F.lit(1)), "page")
+    drawn = materialize(groups.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE).drop("n"))
+    sampled = own.drop("layout").join(drawn.select("host", "page").distinct(), ["host", "page"]).groupBy("host", "page").agg(
+        F.first("html").alias("html"))
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(induce(list(group["html"])))]})
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "layout": [group["layout"].iloc[0]],
+                             "wrapper": [json.dumps(induce(list(group["html"])))]})
+
+    found = materialize(drawn.join(sampled, ["host", "page"]).groupBy("host", "layout").applyInPandas(
+        learn, "host string, layout long, wrapper string"))
+
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(h, k, line_id(*line)) for h, k, w in zip(batch["host"], batch["layout"], batch["wrapper"])
+                    for line in json.loads(w).get("lines", ())]
+            yield pd.DataFrame(rows, columns=["host", "layout", "line"])
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.array([line_ids(page) for page in batch.column("html").to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("host", "layout", "page")), ids],
+                                             names=["host", "layout", "page", "ids"])
+
+    wanted = materialize(found.mapInPandas(candidates, "host string, layout long, line long").distinct())
+    seen = (
+        own.mapInArrow(lines, "host string, layout long, page long, ids array<long>")
+        .select("host", "page", F.explode(F.array(whole, "layout")).alias("layout"), "ids")
+        .select("host", "page", "layout", F.explode("ids").alias("line"))
+        .join(wanted, ["host", "layout", "line"]).distinct()
+        .groupBy("host", "layout", "line").agg(F.count("*").alias("n"))
+    )
+    sizes = groups.groupBy("host", "layout").agg(F.count("*").alias("pages"))
+    confirmed = (
+        seen.join(sizes, ["host", "layout"]).where(F.col("n") >= CONFIRMED * F.col("pages"))
+        .groupBy("host", "layout").agg(F.collect_list("line").alias("ids"))
+    )
+
+    def leave(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known = [json.loads(w) for w in batch["wrapper"]]
+            for wrapper, ids in zip(known, batch["ids"]):
+                if wrapper:
+                    ids = set() if ids is None else set(ids)
+                    wrapper["lines"] = [line for line in wrapper["lines"] if line_id(*line) in ids]
+            yield pd.DataFrame({"host": batch["host"], "layout": batch["layout"], "wrapper": list(map(json.dumps, known))})
+
+    return found.join(confirmed, ["host", "layout"], "left").mapInPandas(leave, "host string, layout long, wrapper string")
+
 
-    return drawn.groupBy("host").applyInPandas(learn, "host string, wrapper string")
+def both(own: str | None, host: str | None) -> dict:
+    """The wrapper of a page from its layout's and its host's: the layout's path where it has one, the lines of both."""
+    first, second = (json.loads(w) if w else {} for w in (own, host))
+    chosen = first or second
+    return {**chosen, "lines": [*first.get("lines", ()), *second.get("lines", ())]} if chosen else {}
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -381,22 +463,24 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     small_batches(spark)
-    pages = pages.select("page_id", "url", "html", split_url(F.col("url"))[0].alias("host"))
-    # Written out, so that the join is planned by its measured size.
+    pages = pages.select("page_id", "url", "html", split_url(F.col("url"))[0].alias("host"), layout(F.col("html")).alias("layout"))
+    # Written out, so that the joins are planned by their measured size.
     known = materialize(wrappers(pages))
-    joined = pages.join(known, "host", "left").select("page_id", "url", "html", "wrapper")
+    whole = known.where("layout = 0").select("host", F.col("wrapper").alias("base"))
+    joined = pages.join(known.where("layout <> 0"), ["host", "layout"], "left").join(whole, "host", "left").select(
+        "page_id", "url", "html", "wrapper", "base")
     page_id, url = (pages.schema[n].dataType.simpleString() for n in ("page_id", "url"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str | None, dict] = {None: {}}
+        seen: dict[tuple, dict] = {}
         for batch in batches:
             texts = []
-            for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
-                if wrapper not in seen:
+            for page, *key in zip(*(batch.column(n).to_pylist() for n in ("html", "wrapper", "base"))):
+                if (key := tuple(key)) not in seen:
                     if len(seen) > 1000:
-                        seen = {None: {}}
-                    seen[wrapper] = json.loads(wrapper)
-                texts.append(read(page, seen[wrapper]))
+                        seen = {}
+                    seen[key] = both(*key)
+                texts.append(read(page, seen[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "text"])

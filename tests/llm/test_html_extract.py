@@ -87,3 +87,34 @@ def test_article_over_two_equal_siblings():
     pages = [boxes(i, halves=1 + i % 2) for i in range(12)]
     want = " ".join(f"Words {n} of part {k} of page 3, which differ" for k in range(2) for n in range(9))
     assert x.read(pages[3], x.induce(pages)) == want
+
+
+def texts(spark, pages):
+    rows = [(i, f"http://h.com/{i}", page) for i, page in enumerate(pages)]
+    return {r.page_id: r.text for r in x.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_layouts_of_a_host_have_wrappers_of_their_own(spark):
+    def page(i):
+        outer, inner = [("wrap", "inner"), ("grid", "cell"), ("shell", "core")][i % 3]
+        return (f"<html><body><div class={outer}><div class=top>Top {i}</div><div class={inner}><p>Words of page {i}, which differ"
+                f"<p>and go on for a good while, up to {i * i}</div><div class=box>Same words everywhere</div></div></body></html>")
+
+    out = texts(spark, [page(i) for i in range(60)])
+    for i in range(60):
+        assert out[i] == f"Words of page {i}, which differ and go on for a good while, up to {i * i}"
+
+
+def test_copies_do_not_fill_the_draw(spark):
+    out = texts(spark, [site(0, "<p>Words of page 0</p>")] * 300 + [site(i, f"<p>Words of page {i}</p>") for i in range(300, 312)])
+    assert out[0] == "Words of page 0" and out[305] == "Words of page 305"
+
+
+def test_lines_of_the_drawn_pages_alone_stay(spark, monkeypatch):
+    monkeypatch.setattr(x, "AGREEING", 2)
+    monkeypatch.setattr(x, "SAMPLE", 2)
+    # A paragraph on half of the pages is in both drawn ones of some host.
+    rows = [(h * 100 + i, f"http://h{h}.com/{i}", site(i, f"<p>Words of page {i}</p>" + "<p>often repeated</p>" * (i % 2)))
+            for h in range(12) for i in range(30)]
+    out = x.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"Words of page {r.page_id % 100}" + " often repeated" * (r.page_id % 2) for r in out)
