@@ -28,8 +28,9 @@ from salesmart.session import materialize
 SAMPLE = 20_000
 THRESHOLD = 0.3
 #: The learned lexicon: words and word beginnings (of STEMS letters, written with a star) in at least SUPPORT toxic texts
-#: whose log odds are at least ODDS even two standard errors down; the strongest LEXICON.
-SUPPORT, ODDS, LEXICON, STEMS = 5, 1.0, 3_000, (4, 5, 6, 7)
+#: whose log odds are at least ODDS even two standard errors down. Where these are more than LEXICON, which bounds what is
+#: broadcast, the support doubles until they are not.
+SUPPORT, ODDS, LEXICON, STEMS = 5, 1.0, 200_000, (4, 5, 6, 7)
 
 #: Common insults and swear words, by language.
 INSULTS = frozenset(
@@ -209,8 +210,11 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
         F.log((F.col("bad") + 0.5) / (size.get(1, 0) + 1)) - F.log((F.col("good") + 0.5) / (size.get(0, 0) + 1))
         - 2 * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     )
-    found = words.where(F.col("bad") >= SUPPORT).select("w", odds.alias("odds")).where(F.col("odds") >= ODDS)
-    return {r["w"]: r["odds"] for r in found.orderBy(F.desc("odds"), "w").limit(LEXICON).collect()}
+    found = materialize(words.where(F.col("bad") >= SUPPORT).select("w", "bad", odds.alias("odds")).where(F.col("odds") >= ODDS))
+    support = SUPPORT
+    while found.where(F.col("bad") >= support).count() > LEXICON:
+        support *= 2
+    return {r["w"]: r["odds"] for r in found.where(F.col("bad") >= support).collect()}
 
 
 class ToxicityModel:
@@ -238,19 +242,21 @@ def _with_margin(frame: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    """Learn from the rows of ``docs`` (doc_id, text) with a label in ``labels`` (doc_id, toxic) that are not held out,
-    at most about ``sample`` of them by a hash of the id: four fifths grow the trees, one fifth calibrates them."""
+    """Learn from the rows of ``docs`` (doc_id, text) with a label in ``labels`` (doc_id, toxic) that are not held out:
+    the lexicon from all of them, trees from at most about ``sample`` by a hash of the id, of which four fifths grow the
+    trees and one fifth calibrates them."""
     wanted = labels.where(F.col("toxic").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").alias("label"))
     wanted = wanted.dropDuplicates(["doc_id"])
     share = min(1.0, sample / max(1, wanted.count()))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    wanted = wanted.where(draw < int(share * 1_000_000)).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)))
-    rows = materialize(docs.select("doc_id", "text").join(wanted, "doc_id").select(
-        F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double").alias("label"), "fold"))
+    wanted = wanted.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)))
+    labelled = lambda ids: docs.select("doc_id", "text").join(ids, "doc_id").select(
+        F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double").alias("label"), "fold")
+    rows = materialize(labelled(wanted.where(draw < int(share * 1_000_000))))
     seen = {(r["label"], r["fold"] > 0) for r in rows.select("label", "fold").distinct().collect()}
     if len(seen) < 4:
         return ToxicityModel({}, None)
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(labelled(wanted))
     ready = materialize(with_features(rows, lexicon))
     # One input partition for a few thousand rows: small partitions only cost scheduling in each round of the trees.
     grown = PipelineModel([

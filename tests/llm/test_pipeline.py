@@ -99,3 +99,13 @@ def test_pipeline(spark, corpus):
     out = corpus_pipeline.run(spark, folder)
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
     assert out.where("not round_trip or size(ids) <> n_ids").count() == 0
+
+
+def test_lexicon_is_learned_from_all_labelled_rows(spark):
+    words = ["plain", "river", "window", "morning", "paper", "garden", "music", "table"]
+    rows = [(i, " ".join(words[(i * k) % 8] for k in range(1, 9)) + (" you idiot" if i % 4 == 0 else "")
+             + (f" grumplig {i}" if i % 100 == 0 else f" {i}"), int(i % 4 == 0)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), sample=300)
+    assert model.trees is not None
+    assert "grumplig" in model.lexicon
