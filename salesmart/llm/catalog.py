@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, exact_dedup, html_extract, language, line_dedup, near_dedup, secrets, sentencepieces, toxicity, urls
+from salesmart.llm import (
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    html_extract,
+    language,
+    line_dedup,
+    near_dedup,
+    secrets,
+    sentencepieces,
+    toxicity,
+    urls,
+)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +33,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": urls.op8_url_filters,
         "op9_secrets": secrets.op9_secrets,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
 
@@ -30,4 +43,5 @@ def all_sql() -> dict[str, str]:
         "op4_near_dedup": near_dedup.SQL,
         "op5_decontaminate": decontaminate.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
+        "op13_filter_audit": filter_audit.SQL,
     }
