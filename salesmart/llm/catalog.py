@@ -14,6 +14,7 @@ from salesmart.llm import (
     language,
     line_dedup,
     near_dedup,
+    prefix_trie,
     secrets,
     sentencepieces,
     toxicity,
@@ -33,6 +34,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": urls.op8_url_filters,
         "op9_secrets": secrets.op9_secrets,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
         "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
@@ -43,5 +45,6 @@ def all_sql() -> dict[str, str]:
         "op4_near_dedup": near_dedup.SQL,
         "op5_decontaminate": decontaminate.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
+        "op11_prefix_trie": prefix_trie.SQL,
         "op13_filter_audit": filter_audit.SQL,
     }
