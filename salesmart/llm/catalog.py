@@ -11,6 +11,7 @@ from salesmart.llm import (
     exact_dedup,
     filter_audit,
     html_extract,
+    jaccard_join,
     language,
     line_dedup,
     near_dedup,
@@ -35,6 +36,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": secrets.op9_secrets,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_jaccard_join": jaccard_join.op12_jaccard_join,
         "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
@@ -46,5 +48,6 @@ def all_sql() -> dict[str, str]:
         "op5_decontaminate": decontaminate.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
         "op11_prefix_trie": prefix_trie.SQL,
+        "op12_jaccard_join": jaccard_join.SQL,
         "op13_filter_audit": filter_audit.SQL,
     }
