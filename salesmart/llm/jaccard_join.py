@@ -92,13 +92,13 @@ def _sized(docs: DataFrame, words_each: int) -> DataFrame:
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDERS, COUNTERS), np.uint32)
         for batch in batches:
-            sizes, sets = [], []
-            for text in batch.column("text").to_pylist():
-                found = tokens(text, words_each)
-                sizes.append(len(found))
-                sets.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+            found = [tokens(text, words_each) for text in batch.column("text").to_pylist()]
+            sizes = [len(f) for f in found]
+            sets = [hashlib.blake2b(f.tobytes(), digest_size=16).digest() if len(f) else None for f in found]
+            if found:
+                met = np.concatenate(found)
                 for order in range(ORDERS):
-                    np.add.at(counts[order], _counters(found, order), 1)
+                    counts[order] += np.bincount(_counters(met, order), minlength=COUNTERS).astype(np.uint32)
             none = [None] * len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), *(pa.array(v, t) for v, t in zip((sizes, sets, none, none), types[1:]))], names=names)
