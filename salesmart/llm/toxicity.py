@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -27,10 +28,13 @@ from salesmart.session import materialize
 #: A classifier is fitted on at most so many labelled rows, drawn by a hash of the id.
 SAMPLE = 20_000
 THRESHOLD = 0.3
-#: The learned lexicon: words and word beginnings (of STEMS letters, written with a star) in at least SUPPORT toxic texts
-#: whose log odds are at least ODDS even two standard errors down. Where these are more than LEXICON, which bounds what is
-#: broadcast, the support doubles until they are not.
-SUPPORT, ODDS, LEXICON, STEMS = 5, 1.0, 200_000, (4, 5, 6, 7)
+#: The learned lexicon: words and word beginnings (of STEMS letters, written with a star) whose log odds are at least ODDS
+#: even two standard errors down, in at least SUPPORT toxic texts and one in LEAST of them. That bounds what is broadcast:
+#: it cannot be more than LEAST times the units of an average toxic text.
+SUPPORT, LEAST, ODDS, STEMS = 5, 2_000, 1.0, (4, 5, 6, 7)
+#: Bits of the filter that finds labelled documents before any text is shuffled: 8 MB, whatever the number of labels.
+#: Far more labels than a tenth of that let more texts through to the exact join.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 3
 
 #: Common insults and swear words, by language.
 INSULTS = frozenset(
@@ -194,15 +198,14 @@ def with_features(docs: DataFrame, learned: dict[str, float]) -> DataFrame:
 
 
 def learn_lexicon(texts: DataFrame) -> dict[str, float]:
-    """Words of ``texts`` (text, label) and their beginnings, by their log odds between distinct toxic and other texts,
-    two standard errors down."""
+    """Words of ``texts`` (text, label; every text once) and their beginnings, by their log odds between toxic and other
+    texts, two standard errors down."""
     words = F.transform(F.split(F.lower("text"), r"\s+"),
                         lambda w: F.regexp_replace(w, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", ""))
     units = F.flatten(F.transform(F.array_distinct(words), lambda w: F.array(
         w, *(F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS))))
     words = (
-        texts.select("text", "label").distinct()
-        .select("label", F.explode(F.array_distinct(F.array_compact(units))).alias("w")).where("w <> ''")
+        texts.select("label", F.explode(F.array_distinct(F.array_compact(units))).alias("w")).where("w <> ''")
         .groupBy("w").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
     )
     size = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
@@ -210,11 +213,50 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
         F.log((F.col("bad") + 0.5) / (size.get(1, 0) + 1)) - F.log((F.col("good") + 0.5) / (size.get(0, 0) + 1))
         - 2 * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     )
-    found = materialize(words.where(F.col("bad") >= SUPPORT).select("w", "bad", odds.alias("odds")).where(F.col("odds") >= ODDS))
-    support = SUPPORT
-    while found.where(F.col("bad") >= support).count() > LEXICON:
-        support *= 2
-    return {r["w"]: r["odds"] for r in found.where(F.col("bad") >= support).collect()}
+    enough = F.col("bad") >= max(SUPPORT, size.get(1, 0) / LEAST)
+    return {r["w"]: r["odds"] for r in words.where(enough).select("w", odds.alias("odds")).where(F.col("odds") >= ODDS).collect()}
+
+
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be one of ``ids`` (doc_id): a Bloom filter of fixed size, no shuffle."""
+    places = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(FILTER_BITS)) + 1 for k in range(FILTER_HASHES)]
+    marked = ids.select(F.explode(F.array(*places)).alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    found = {r["bucket"]: r["bits"] for r in marked.collect()}
+    each = 4096  # bytes of a bitmap
+    none = bytes(each)
+    bits = docs.sparkSession.sparkContext.broadcast(
+        b"".join(bytes(found.get(i, none)) for i in range(1, FILTER_BITS // (8 * each) + 1)))
+
+    @F.pandas_udf("boolean")
+    def may_be(*at: pd.Series) -> pd.Series:
+        known = np.frombuffer(bits.value, np.uint8)
+        good = np.ones(len(at[0]), bool)
+        for place in at:
+            bit = place.to_numpy() - 1
+            good &= (known[bit >> 3] >> (bit & 7) & 1).astype(bool)
+        return pd.Series(good)
+
+    return docs.where(F.col("doc_id").isNotNull()).where(may_be(*places))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, label, fold, first) of the rows of ``docs`` with a label that are not held out, written once.
+
+    Of several labels of a doc_id the largest counts; rows that repeat a doc_id and its text are one. Copies of a text
+    share one of five folds; first marks the one that stands for them among those of one label. The joins are hinted to
+    merge, so that the plan is one and the same at every size; of texts, only labelled ones are shuffled, once.
+    """
+    wanted = materialize(labels.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(
+        F.max("toxic").cast("double").alias("label")))
+    near = _among(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), wanted)
+    near = near.withColumn("sha", F.unhex(F.sha2("text", 256)))
+    marked = materialize(near.select("doc_id", "sha").distinct().join(wanted.hint("merge"), "doc_id"))
+    firsts = marked.groupBy("sha", "label").agg(F.min("doc_id").alias("low"))
+    marked = marked.join(firsts.hint("merge"), ["sha", "label"]).select(
+        "doc_id", "sha", "label", F.pmod(F.xxhash64("sha"), F.lit(5)).alias("fold"), (F.col("doc_id") == F.col("low")).alias("first"))
+    texts = near.groupBy("doc_id", "sha").agg(F.first("text").alias("text"))
+    return materialize(texts.join(marked.hint("merge"), ["doc_id", "sha"]).drop("sha"))
 
 
 class ToxicityModel:
@@ -242,21 +284,20 @@ def _with_margin(frame: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    """Learn from the rows of ``docs`` (doc_id, text) with a label in ``labels`` (doc_id, toxic) that are not held out:
-    the lexicon from all of them, trees from at most about ``sample`` by a hash of the id, of which four fifths grow the
-    trees and one fifth calibrates them."""
-    wanted = labels.where(F.col("toxic").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").alias("label"))
-    wanted = wanted.dropDuplicates(["doc_id"])
-    share = min(1.0, sample / max(1, wanted.count()))
+    """Learn from the rows of ``docs`` (doc_id, text) with a label in ``labels`` (doc_id, toxic) that are not held out.
+
+    The lexicon comes from the distinct texts of four folds, all of them; the trees from the same folds and the
+    calibration from the fifth, whose words the lexicon has not seen, in a draw by a hash of the id of at most about
+    ``sample`` rows in all. Empty tables and labels of one kind give a model without trees.
+    """
+    texts = labelled_texts(docs, labels)
+    share = min(1.0, sample / max(1, texts.count()))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    wanted = wanted.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)))
-    labelled = lambda ids: docs.select("doc_id", "text").join(ids, "doc_id").select(
-        F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("double").alias("label"), "fold")
-    rows = materialize(labelled(wanted.where(draw < int(share * 1_000_000))))
+    rows = texts.where(draw < int(share * 1_000_000)).select("text", "label", "fold")
     seen = {(r["label"], r["fold"] > 0) for r in rows.select("label", "fold").distinct().collect()}
     if len(seen) < 4:
         return ToxicityModel({}, None)
-    lexicon = learn_lexicon(labelled(wanted))
+    lexicon = learn_lexicon(texts.where("first and fold > 0"))
     ready = materialize(with_features(rows, lexicon))
     # One input partition for a few thousand rows: small partitions only cost scheduling in each round of the trees.
     grown = PipelineModel([

@@ -109,3 +109,27 @@ def test_lexicon_is_learned_from_all_labelled_rows(spark):
     model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), sample=300)
     assert model.trees is not None
     assert "grumplig" in model.lexicon
+
+
+def test_copies_of_a_text_count_once_in_the_lexicon(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(12)) + (" idiot" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(1200)]
+    rows += [(i, "one clean text that is copied very often", 0) for i in range(5000, 9000)] + [rows[1]] * 500
+    rows.append((rows[0][0], rows[0][1], 0))  # a second label, which the larger one overrules
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts = toxicity.labelled_texts(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert texts.where("text like '%copied%' and first").count() == 1
+    assert texts.groupBy("doc_id").count().where("count > 1").count() == 0
+    assert texts.where("doc_id = 0 and label = 1").count() in (0, 1) and texts.where("doc_id = 0 and label = 0").count() == 0
+    lexicon = toxicity.learn_lexicon(texts.where("first"))
+    assert "idiot" in lexicon and not set(lexicon) & set(WORDS)
+
+
+def test_scores_are_no_surer_than_the_labels(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(25)), int(rng.random() < 0.3)) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    held = toxicity.toxicity(frame.select("doc_id", "text"), model).where("held_out").join(frame.select("doc_id", "toxic"), "doc_id")
+    mean, base = held.agg(F.avg("score"), F.avg("toxic")).first()
+    assert abs(mean - base) < 0.05
