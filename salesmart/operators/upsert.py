@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 SERIAL_BUCKETS = 1024
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
 def _with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     # A NULL key never matches, so its rows may go anywhere: spread them by content over the shuffle
     # instead of sending every NULL to one task.
-    spread = F.when(_any_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    spread = F.when(any_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
     return df.withColumn("_spread", spread)
 
 
@@ -28,14 +28,14 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     spread = df if "_spread" in df.columns else _with_spread(df, keys)
     counted = spread.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_spread")))
     message = F.concat(F.lit("duplicate key: "), F.to_json(F.struct(*keys)))
-    single = F.when((F.col("_copies") > 1) & ~_any_null(keys), F.raise_error(message).cast("boolean")).otherwise(True)
+    single = F.when((F.col("_copies") > 1) & ~any_null(keys), F.raise_error(message).cast("boolean")).otherwise(True)
     kept = counted.where(single).drop("_copies")
     return kept if "_spread" in df.columns else kept.drop("_spread")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that a unique index would refuse, with their row counts."""
-    known = df.where(~_any_null(keys))
+    known = df.where(~any_null(keys))
     return known.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
@@ -88,7 +88,7 @@ def insert_if_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     ranked = Window.partitionBy(*keys, "_spread").orderBy(*(order or updates.columns))
     single = (
         _with_spread(updates, keys).withColumn("_n", F.row_number().over(ranked))
-        .where((F.col("_n") == 1) | _any_null(keys)).drop("_n", "_spread")
+        .where((F.col("_n") == 1) | any_null(keys)).drop("_n", "_spread")
     )
     fresh = single.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, fast_track, marts, quality, recommend, rfm, silver, stock, upsert
@@ -14,6 +16,7 @@ from salesmart.operators.gram import gram, pack_rows
 from salesmart.schemas import LAKE_PARTITIONS
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
+from salesmart.sources.commits import CommittedTable, MergedTable
 from salesmart.sources.external import send_stream
 from salesmart.sources.warehouse import Warehouse
 from salesmart.streaming import flows
@@ -27,6 +30,7 @@ STOCK_FROM, STOCK_TO = "2024-01-15 12:00:00", "2024-01-15 18:00:00"
 RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-08-01 23:00:00"  # the last after the last order
 RFM_STALE_BEFORE = "2001-03-01 00:00:00"
 EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-31 23:00:00"  # the last after the last event
+HISTORY_CUT = "2024-01-15 00:00:00"
 CF_CUSTOMER = 1
 ITEM_IDS = [-1, *range(100)]  # the sample's product ids: the unknown one and 0 … 99
 
@@ -97,6 +101,22 @@ def silver_verify(spark, sf_dir):
     return silver.verify_silver(samples.sales_enriched(spark, sf_dir))
 
 
+@query
+def silver_history(spark, sf_dir):
+    """The fact table as of five moments: after two runs, a run again, a rebuild, and a run again after that."""
+    sales = samples.sales_enriched(spark, sf_dir).select("sale_id", "amount", "sale_date", "event_type", F.lit("").alias("ingest"))
+    facts = CommittedTable(spark, f"{_sink(spark)}/facts", sales.schema, run_column="ingest")
+    early = sales.where(F.col("sale_date") < at(HISTORY_CUT)).withColumn("ingest", F.lit("early"))
+    late = sales.where(F.col("sale_date") >= at(HISTORY_CUT)).withColumn("ingest", F.lit("late"))
+    facts.replace_run("early", early, "2024-02-01 01:00:00")
+    facts.replace_run("late", late, "2024-02-01 02:00:00")
+    facts.replace_run("early", early.where("event_type = 'purchase'"), "2024-02-01 03:00:00")
+    facts.replace_all(facts.read().where("amount > 100"), "2024-02-01 04:00:00")
+    facts.replace_run("late", late.where("event_type <> 'error'"), "2024-02-01 05:00:00")
+    states = [facts.read(facts.version_at(f"2024-02-01 0{hour}:30:00")).withColumn("hour", F.lit(hour)) for hour in range(1, 6)]
+    return reduce(DataFrame.unionByName, states)
+
+
 @query
 def fast_track_filter(spark, sf_dir):
     return fast_track.fast_track_filter(samples.raw_sales(spark, sf_dir)).select(
@@ -135,6 +155,19 @@ def upsert_mart_sales(spark, sf_dir):
     return upsert.merge_upsert(before, day, marts.SALES_KEYS, marts.SALES_UPDATES, keys_unique=True)
 
 
+@query
+def upsert_mart_sales_log(spark, sf_dir):
+    """The mart as a log of three batches, the last with NULL keys, compacted after the second."""
+    sales = samples.sales_enriched(spark, sf_dir)
+    stale, day = sales.where(F.col("event_type") != "error"), marts.mart_sales(sales, [SALES_DAY])
+    log = MergedTable(spark, f"{_sink(spark)}/mart", T.StructType(day.schema.fields), marts.SALES_KEYS, marts.SALES_UPDATES)
+    log.upsert(marts.mart_sales(stale, [SALES_DAY]), keys_unique=True)
+    log.upsert(marts.mart_sales(stale), keys_unique=True)
+    log.compact_step(fan_in=2)
+    log.upsert(day.unionByName(day.where("store_id = 1").withColumn("store_id", F.lit(None).cast("bigint"))))
+    return log.read()
+
+
 # --- RFM and account mart --------------------------------------------------------------------------------------
 
 

@@ -48,12 +48,13 @@ def silver_hour(wh: Warehouse, run_at: datetime | str, processed_at: datetime |
         return
     products = wh.latest_or_empty("products")
     rows = silver.enrich(quality.clean_batch(bronze), products, processed_at or _now())
-    wh.replace_run("silver.sales_enriched", "ingest", _ingest(run_at), rows, within=["sale_date_only"])
+    wh.replace_run("silver.sales_enriched", "ingest", _ingest(run_at), rows)
 
 
 def rebuild_silver(wh: Warehouse, processed_at: datetime | str | None = None) -> DataFrame:
     """Rebuild the fact table from all raw files, cleaning file by file; a file that breaks anywhere stays out whole.
 
+    The new rows are one commit: readers see the old table until then, also where the rebuild fails on the way.
     Returns the verification row (rows, named rows, date span) with the paths of the files that were left out.
     """
     products = wh.latest_or_empty("products")
@@ -64,15 +65,10 @@ def rebuild_silver(wh: Warehouse, processed_at: datetime | str | None = None) ->
     ingest = F.concat("year", "month", "day", "hour").alias("ingest")
     clean = quality.clean_batch(raw, scope=["_file"]).select("*", ingest)
     rows = silver.enrich(clean, products, processed_at or _now(), keep=("ingest",))
-    (
-        wh.conform("silver.sales_enriched", rows)
-        .hint("rebalance", "ingest")
-        .write.mode("overwrite")
-        .partitionBy("ingest", "sale_date_only")
-        .parquet(wh.path("silver.sales_enriched"))
-    )
+    facts = wh.committed("silver.sales_enriched")
+    version = facts.replace_all(rows)
     left_out = F.array(*map(F.lit, skipped)).cast("array<string>").alias("skipped_files")
-    return silver.verify_silver(wh.read("silver.sales_enriched")).select("*", left_out)
+    return silver.verify_silver(facts.read(version)).select("*", left_out)
 
 
 def stock_hour(wh: Warehouse, run_at: datetime | str, window: tuple | None = None) -> None:
@@ -144,23 +140,25 @@ def touched_dates(wh: Warehouse, ingest_hours: Iterable[str]) -> list[date]:
 
 
 def refresh_mart_sales(wh: Warehouse, dates: Iterable, stamp: datetime | str) -> None:
-    """Upsert the sales mart for the given dates; only their partitions are read and rewritten."""
-    days = [F.lit(str(day)[:10]).cast("date") for day in dates]
-    if not days:
+    """Upsert the sales mart for the given dates: their rows are appended to its log and merged when read."""
+    dates = list(dates)
+    if not dates:
         return
-    fresh = marts.mart_sales(wh.read("silver.sales_enriched"), dates)
-    old = wh.read("gold.mart_sales").where(F.col("sale_day").isin(days)).drop("sale_day")
-    merged = upsert.merge_upsert(old, fresh, marts.SALES_KEYS, marts.SALES_UPDATES, at(stamp), keys_unique=True)
-    wh.replace_partitions("gold.mart_sales", "sale_day", merged.withColumn("sale_day", F.to_date("sale_hour")))
+    fresh = marts.mart_sales(wh.read("silver.sales_enriched"), dates).withColumn("updated_at", at(stamp))
+    _upsert(wh, "gold.mart_sales", fresh, stamp)
+
+
+def _upsert(wh: Warehouse, name: str, fresh: DataFrame, stamp: datetime | str) -> None:
+    mart = wh.merged(name)
+    mart.upsert(fresh, stamp, keys_unique=True)
+    while mart.compact_step(stamp):
+        pass
 
 
 def refresh_mart_account(wh: Warehouse, day, stamp: datetime | str) -> None:
     """Upsert the account mart for one snapshot day; earlier days stay as history."""
     snapshot = wh.latest_or_empty("silver.rfm_snapshot")
-    fresh = marts.mart_account(snapshot, day)
-    old = wh.read("gold.mart_account").where(F.col("snapshot_date") == F.lit(str(day)[:10]).cast("date"))
-    merged = upsert.merge_upsert(old, fresh, marts.ACCOUNT_KEYS, marts.ACCOUNT_UPDATES, at(stamp), keys_unique=True)
-    wh.replace_partitions("gold.mart_account", "snapshot_date", merged)
+    _upsert(wh, "gold.mart_account", marts.mart_account(snapshot, day).withColumn("updated_at", at(stamp)), stamp)
 
 
 def refresh_mart_inventory(wh: Warehouse, stamp: datetime | str) -> None:

@@ -11,6 +11,7 @@ from salesmart.plans.catalog import (
     CF_CUSTOMER,
     EDGE_AS_OF,
     EDGE_PREVIOUS,
+    HISTORY_CUT,
     ITEM_IDS,
     RFM_AS_OF,
     RFM_PREVIOUS,
@@ -236,6 +237,13 @@ _SQL = {
     "silver_verify": """
         SELECT COUNT(*) AS total, COUNT(product_name) AS has_name, MIN(sale_date_only) AS from_date,
                MAX(sale_date_only) AS to_date FROM sales_enriched""",
+    "silver_history": f"""
+        SELECT s.sale_id, s.amount, s.sale_date, s.event_type, CASE WHEN early THEN 'early' ELSE 'late' END AS ingest, "hour"
+        FROM (SELECT *, sale_date < TIMESTAMP '{HISTORY_CUT}' AS early FROM sales_enriched) s,
+             (SELECT CAST(unnest(range(1, 6)) AS INT) AS "hour") h
+        WHERE CASE "hour" WHEN 1 THEN early WHEN 2 THEN TRUE WHEN 3 THEN NOT early OR event_type = 'purchase'
+              WHEN 4 THEN amount > 100 AND (NOT early OR event_type = 'purchase')
+              ELSE CASE WHEN early THEN amount > 100 AND event_type = 'purchase' ELSE event_type <> 'error' END END""",
     "fast_track_filter": """
         SELECT sale_id, customer_id, store_id, product_id, amount, sale_date, arrival_seq
         FROM raw_sales WHERE amount > 400""",
@@ -436,5 +444,11 @@ _SQL = {
 }
 
 
+_SQL["upsert_mart_sales_log"] = f"""{_SQL['upsert_mart_sales']}
+        UNION ALL
+        SELECT NULL AS store_id, category, sale_hour, total_revenue, order_count, avg_order_value
+        FROM mart_sales WHERE CAST(sale_hour AS DATE) = DATE '{SALES_DAY}' AND store_id = 1"""
+
+
 def all_sql() -> dict[str, str]:
     return {name: _WITH + "SELECT * FROM (" + text.strip() + ") q" for name, text in _SQL.items()}

@@ -1,16 +1,16 @@
 """Warehouse tables as parquet under one root, on any Hadoop file system.
 
-Three ways of writing, chosen per table, all safe to repeat:
+Four ways of writing, chosen per table, all safe to repeat:
 
-* fact rows replace the partition of their ingest hour (or streaming batch);
-* keyed marts rewrite only the partitions an update touches;
+* fact rows are committed segments: a run replaces its earlier attempt, a rebuild everything, in one commit each;
+* keyed marts are logs of upserts, merged when read and compacted in bounded steps;
+* alerts replace the partition of their run (or streaming batch);
 * snapshots go to a new ``version=`` directory, and readers take the newest complete one, so a job can read the
   previous state while it writes the next and a failed write changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +18,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.operators.upsert import duplicate_keys
+from salesmart.operators import marts
 from salesmart.schemas import TABLES, UNIQUE_KEYS
+from salesmart.sources.commits import CommittedTable, MergedTable
 from salesmart.sources.lake import read_or_empty
 
-# Partition columns that are not part of a table's own schema.
+# Columns that are not part of a table's own schema.
 EXTRA_PARTITIONS: dict[str, list[T.StructField]] = {
     "silver.sales_enriched": [T.StructField("ingest", T.StringType())],
-    "gold.mart_sales": [T.StructField("sale_day", T.DateType())],
     "inventory_alerts": [T.StructField("run", T.StringType())],
 }
 
+# Tables as commits, with the columns that partition their segments and the one that names a row's run, and marts as logs of upserts.
+COMMITTED: dict[str, tuple[list[str], str]] = {"silver.sales_enriched": (["sale_date_only"], "ingest")}
+MERGED: dict[str, tuple[str, ...]] = {
+    "gold.mart_sales": (*marts.SALES_UPDATES, "updated_at"),
+    "gold.mart_account": (*marts.ACCOUNT_UPDATES, "updated_at"),
+}
+
 
 def stamp_text(moment: datetime | str) -> str:
     """Sortable text of a run time, used in partition and version names."""
@@ -50,10 +58,22 @@ class Warehouse:
     def schema(self, name: str) -> T.StructType:
         return T.StructType([*TABLES[name].fields, *EXTRA_PARTITIONS.get(name, [])])
 
+    # --- committed and merged tables ---
+
+    def committed(self, name: str) -> CommittedTable:
+        return CommittedTable(self.spark, self.path(name), self.schema(name), *COMMITTED[name])
+
+    def merged(self, name: str) -> MergedTable:
+        return MergedTable(self.spark, self.path(name), self.schema(name), UNIQUE_KEYS[name], MERGED[name])
+
     # --- plain and partitioned tables ---
 
     def read(self, name: str) -> DataFrame:
-        """A partitioned table with its extra partition columns; empty before the first write."""
+        """A table with its extra columns, committed and merged ones as of their newest commit; empty before the first write."""
+        if name in COMMITTED:
+            return self.committed(name).read()
+        if name in MERGED:
+            return self.merged(name).read()
         return read_or_empty(self.spark, self.path(name), self.schema(name))
 
     def conform(self, name: str, df: DataFrame) -> DataFrame:
@@ -67,27 +87,13 @@ class Warehouse:
     def append(self, name: str, df: DataFrame) -> None:
         self.conform(name, df).write.mode("append").parquet(self.path(name))
 
-    def replace_run(self, name: str, column: str, run: str, df: DataFrame, within: Sequence[str] = ()) -> None:
-        """Write the rows of one run under ``column=run``, replacing an earlier attempt of the same run."""
+    def replace_run(self, name: str, column: str, run: str, df: DataFrame) -> None:
+        """The rows of one run, named in ``column``, in place of an earlier attempt of the same run."""
+        if name in COMMITTED:
+            self.committed(name).replace_run(run, df.withColumn(column, F.lit(run)))
+            return
         rows = self.conform(name, df.withColumn(column, F.lit(run))).drop(column)
-        writer = rows.write.mode("overwrite")
-        if within:
-            writer = writer.partitionBy(*within)
-        writer.parquet(f"{self.path(name)}/{column}={run}")
-
-    def replace_partitions(self, name: str, column: str, df: DataFrame) -> None:
-        """Overwrite the partitions that occur in ``df`` and leave the others alone.
-
-        The rebalance hint gives every partition value few files of even size and splits a hot one.
-        """
-        (
-            self.conform(name, df)
-            .hint("rebalance", column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.path(name))
-        )
+        rows.write.mode("overwrite").parquet(f"{self.path(name)}/{column}={run}")
 
     # --- versioned snapshots ---
 
@@ -128,7 +134,8 @@ class Warehouse:
 
     def duplicates(self, name: str) -> DataFrame:
         """Keys that break the table's unique key, with their row counts; empty on a sound table."""
-        rows = self.latest_or_empty(name) if self.versions(name) else self.read(name)
+        versioned = name not in COMMITTED and name not in MERGED and self.versions(name)
+        rows = self.latest_or_empty(name) if versioned else self.read(name)
         return duplicate_keys(rows, UNIQUE_KEYS[name])
 
     # --- names for SQL ---
@@ -141,9 +148,13 @@ class Warehouse:
         for name, schema in TABLES.items():
             if "." in name:
                 self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
-            versions = self.versions(name)
+            known = self.committed(name) if name in COMMITTED else self.merged(name) if name in MERGED else None
+            if known is not None and (body := known.view_sql()):
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+                continue
+            versions = [] if known else self.versions(name)
             location = f"{self.path(name)}/version={versions[-1]}" if versions else self.path(name)
-            if not read_or_empty(self.spark, location, schema).isEmpty():
+            if not known and not read_or_empty(self.spark, location, schema).isEmpty():
                 columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
                 body = f"SELECT {columns} FROM parquet.`{location}`"
             else:

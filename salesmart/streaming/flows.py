@@ -60,7 +60,7 @@ def stream_silver(wh: Warehouse, source: DataFrame, checkpoint: str, processed_a
     def each(batch: DataFrame, batch_id: int) -> None:
         clean = quality.clean_batch(batch, scope=["year", "month", "day", "hour"])
         rows = silver.enrich(clean, wh.latest_or_empty("products"), processed_at)
-        wh.replace_run("silver.sales_enriched", "ingest", _batch_name(batch_id), rows, within=["sale_date_only"])
+        wh.replace_run("silver.sales_enriched", "ingest", _batch_name(batch_id), rows)
 
     return _run(source, checkpoint, each)
 

@@ -35,8 +35,10 @@ def world(spark, sf, tmp_path_factory):
 
 
 def enriched_stream(spark, wh):
-    reader = spark.readStream.schema(wh.schema("silver.sales_enriched")).option("maxFilesPerTrigger", 8)
-    return reader.parquet(wh.path("silver.sales_enriched"))
+    folder = f"{wh.root}/as-files"
+    silver = wh.read("silver.sales_enriched")
+    silver.repartition(24, "sale_id").write.mode("ignore").parquet(folder)
+    return spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 8).parquet(folder)
 
 
 def test_silver_stream_equals_batch(spark, sf, world):
