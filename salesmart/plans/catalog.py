@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from salesmart.sources import lake, samples
 from salesmart.sources.commits import CommittedTable, MergedTable
 from salesmart.sources.external import send_stream
 from salesmart.sources.warehouse import Warehouse
-from salesmart.streaming import flows
+from salesmart.streaming import flows, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -515,6 +516,33 @@ def stream_sales_once(spark, sf_dir):
     return _drained(spark, flows.once_per_sale(_event_stream(spark, sf_dir)).select("sale_id"))
 
 
+def _arriving(spark, frame: DataFrame, order: str, parts: int, column) -> DataFrame:
+    """``frame`` as a stream of ``parts`` batches, cut by ``column`` (0 to parts - 1), each written in ``order``."""
+    folder = f"{_sink(spark)}/arriving"
+    for part in range(parts):
+        frame.where(column == part).repartition(1).sortWithinPartitions(order).write.mode("append").parquet(folder)
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def stream_first_sale(spark, sf_dir):
+    """Whole first rows over three batches: every repeat of a sale comes one batch or more after its first row."""
+    raw = samples.raw_sales(spark, sf_dir)
+    repeat = (F.col("sale_id") != F.col("arrival_seq").cast("string")).cast("int")
+    batch = F.when(F.col("arrival_seq") % 20 < 10, repeat).otherwise(1 + repeat)
+    stream = _arriving(spark, raw, "arrival_seq", 3, batch)
+    return _drained(spark, keyed.first_sales(stream, ["arrival_seq"], timedelta(days=400)))
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    """Alerts of four batches in order of time, from stock kept as state, looked at every 20 minutes."""
+    sales = samples.sales_enriched(spark, sf_dir).select("product_id", "sale_date")
+    stream = _arriving(spark, sales, "sale_date", 4, F.floor((F.dayofmonth("sale_date") - 1) / 8).cast("int"))
+    changes = keyed.stock_changes(stream, samples.inventory(spark, sf_dir), "20 minutes", "20 minutes")
+    return keyed.alerts_of(_drained(spark, changes))
+
+
 @query
 def stream_hourly_revenue(spark, sf_dir):
     """Hours that the watermark, one hour behind the newest sale, has closed."""

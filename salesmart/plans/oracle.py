@@ -154,6 +154,25 @@ _VIEWS["names"] = """
 _VIEWS["spend_gram"] = """
         SELECT a.product_id AS i, b.product_id AS j, SUM(CAST(a.spend AS DOUBLE) * CAST(b.spend AS DOUBLE)) AS x
         FROM spend a JOIN spend b ON a.customer_id = b.customer_id GROUP BY 1, 2"""
+_VIEWS["intervals"] = """
+        SELECT s.product_id, s."at", s.n, i.stock_qty, i.restock_threshold,
+               row_number() OVER (PARTITION BY s.product_id ORDER BY s."at") AS k
+        FROM (SELECT product_id, time_bucket(INTERVAL 20 MINUTES, sale_date) + INTERVAL 20 MINUTES AS "at", COUNT(*) AS n
+              FROM sales_enriched GROUP BY 1, 2) s JOIN inventory i ON i.product_id = s.product_id
+        WHERE s."at" <= (SELECT MAX(sale_date) FROM sales_enriched) - INTERVAL 20 MINUTES"""
+_DUE = "greatest({stock} - t.n, 0) <= {limit} AND ({last} IS NULL OR {last} <= t.\"at\" - INTERVAL 1 HOUR)"
+_FIRST = _DUE.format(stock="t.stock_qty", limit="t.restock_threshold", last="CAST(NULL AS TIMESTAMP)")
+_NEXT = _DUE.format(stock="r.stock_qty", limit="r.threshold", last="r.last_alert")
+_VIEWS["stock_steps"] = f"""
+        SELECT t.product_id, t.k, t."at", CAST(greatest(t.stock_qty - t.n, 0) AS INT) AS stock_qty,
+               t.restock_threshold AS threshold, CASE WHEN {_FIRST} THEN t."at" END AS last_alert,
+               CAST(CASE WHEN {_FIRST} THEN 1 ELSE 0 END AS BIGINT) AS alerts
+        FROM intervals t WHERE t.k = 1
+        UNION ALL
+        SELECT t.product_id, t.k, t."at", CAST(greatest(r.stock_qty - t.n, 0) AS INT), r.threshold,
+               CASE WHEN {_NEXT} THEN t."at" ELSE r.last_alert END,
+               CAST(r.alerts + CASE WHEN {_NEXT} THEN 1 ELSE 0 END AS BIGINT)
+        FROM stock_steps r JOIN intervals t ON t.product_id = r.product_id AND t.k = r.k + 1"""
 _VIEWS["factor_0"] = "SELECT DISTINCT product_id, CAST(1 AS DOUBLE) AS v FROM spend"
 for _step in range(1, 25):  # power iteration: the spend of all customers has one dominant direction
     _VIEWS[f"factor_{_step}"] = f"""
@@ -171,7 +190,7 @@ _VIEWS["recommendations"] = """
                                       AND b.product_id = f.product_id))) r
         JOIN names n ON n.product_id = r.product_id WHERE r."rank" <= 5"""
 
-_WITH = "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items()) + "\n"
+_WITH = "WITH RECURSIVE " + ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items()) + "\n"
 
 _SALE_COLUMNS = "sale_id, customer_id, store_id, product_id, amount, sale_date, arrival_seq, event_type"
 _TODAY = f"sale_hour >= date_trunc('day', TIMESTAMP '{CARDS_AS_OF}')"
@@ -433,6 +452,12 @@ _SQL = {
     "stream_sales_once": """
         SELECT DISTINCT sale_id FROM raw_sales
         WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL""",
+    "stream_first_sale": f"SELECT {_SALE_COLUMNS} FROM first_sales WHERE amount > 0",
+    "stream_alerts": f"""
+        SELECT alerts * 1099511627776 + product_id AS alert_id, product_id, stock_qty, threshold, "at" AS alert_time,
+               FALSE AS resolved
+        FROM stock_steps WHERE last_alert = "at"
+        """,
     "stream_hourly_revenue": """
         SELECT * FROM mart_sales
         WHERE sale_hour + INTERVAL 1 HOUR <= (SELECT MAX(sale_date) FROM sales_enriched) - INTERVAL 1 HOUR""",
