@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.expressions import at, cut
-from salesmart.operators import affinity, cards, fast_track, marts, quality, recommend, rfm, silver, stock, upsert
+from salesmart.operators import affinity, cards, fast_track, maintained, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.gram import gram, pack_rows
-from salesmart.schemas import LAKE_PARTITIONS
+from salesmart.schemas import LAKE_PARTITIONS, MONEY
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
-from salesmart.sources.commits import CommittedTable, MergedTable
+from salesmart.sources.commits import CommittedTable, MergedTable, SummedTable
 from salesmart.sources.external import send_stream
 from salesmart.sources.warehouse import Warehouse
-from salesmart.streaming import flows, keyed
+from salesmart.streaming import flows, keyed, revenue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-08-01 23:00:00"  # the la
 RFM_STALE_BEFORE = "2001-03-01 00:00:00"
 EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-31 23:00:00"  # the last after the last event
 HISTORY_CUT = "2024-01-15 00:00:00"
+TREND_DAYS, TREND_AS_OF = ("2024-01-15", "2024-01-20"), "2024-02-10 18:00:00"  # the card begins inside a day
 CF_CUSTOMER = 1
 ITEM_IDS = [-1, *range(100)]  # the sample's product ids: the unknown one and 0 … 99
 
@@ -461,6 +462,30 @@ def _register_cards() -> None:
 _register_cards()
 
 
+@query
+def customers_by_range(spark, sf_dir):
+    """Distinct customers of the last 1, 7 and 30 days, each from the same bitmaps by day."""
+    bitmaps = materialize(maintained.customer_bitmaps(samples.sales_enriched(spark, sf_dir)))
+    return reduce(DataFrame.unionByName, [maintained.distinct_customers(bitmaps, CARDS_AS_OF, days) for days in (1, 7, 30)])
+
+
+@query
+def card_sales_trend_incremental(spark, sf_dir):
+    """The trend card after two upserts, from day totals that only the replaced hours have changed."""
+    sales = samples.sales_enriched(spark, sf_dir)
+    full = materialize(marts.mart_sales(sales))
+    root = _sink(spark)
+    mart = MergedTable(spark, f"{root}/mart", T.StructType(full.schema.fields), marts.SALES_KEYS, marts.SALES_UPDATES)
+    days = SummedTable(spark, f"{root}/days", T.StructType([
+        T.StructField("day", T.DateType()), T.StructField("total_revenue", MONEY), T.StructField("orders", T.LongType())]), ["day"])
+    stale = marts.mart_sales(sales.where(F.col("event_type") != "error"))
+    for number, fresh in enumerate([stale, *(full.where(F.to_date("sale_hour") == F.lit(day).cast("date")) for day in TREND_DAYS)]):
+        fresh = materialize(fresh)
+        days.add(f"{number:04d}", maintained.day_changes(maintained.replaced_rows(mart.read(), fresh, marts.SALES_KEYS), fresh))
+        mart.upsert(fresh, keys_unique=True)
+    return maintained.sales_trend(days.read(), mart.read(), TREND_AS_OF)
+
+
 # --- streams -------------------------------------------------------------------------------------------------
 # Each runs the stream over the events file until it is consumed and returns what the sink holds.
 
@@ -549,6 +574,16 @@ def stream_hourly_revenue(spark, sf_dir):
     return _drained(spark, flows.hourly_revenue(_silver_stream(spark, sf_dir)))
 
 
+@query
+def stream_revenue_corrected(spark, sf_dir):
+    """Hourly revenue of five batches in shuffled order: most rows come late, and their hours are corrected."""
+    sales = samples.sales_enriched(spark, sf_dir).select("sale_id", "store_id", "category", "amount", "sale_date")
+    stream = _arriving(spark, sales, "sale_id", 5, F.pmod(F.xxhash64("sale_id"), F.lit(5)).cast("int"))
+    mart = revenue.RevenueMart(spark, _sink(spark))
+    revenue.stream_revenue(mart, stream, f"{_sink(spark)}/checkpoint").awaitTermination()
+    return mart.read(open_hours=True)
+
+
 @query
 def stream_stock_level(spark, sf_dir):
     wh = _stream_warehouse(spark, sf_dir)

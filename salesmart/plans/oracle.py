@@ -19,6 +19,8 @@ from salesmart.plans.catalog import (
     SALES_DAY,
     STOCK_FROM,
     STOCK_TO,
+    TREND_AS_OF,
+    TREND_DAYS,
 )
 
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
@@ -434,6 +436,16 @@ _SQL = {
     "panel_top_recommended": """
         SELECT product_name AS metric, COUNT(*) AS value FROM recommendations WHERE "rank" = 1
         GROUP BY product_name ORDER BY value DESC, metric NULLS LAST LIMIT 10""",
+    "customers_by_range": "SELECT * FROM (" + " UNION ALL ".join(f"""
+        SELECT {days} AS days, COUNT(DISTINCT customer_id) AS customers FROM sales_enriched
+        WHERE sale_date_only > DATE '{CARDS_AS_OF[:10]}' - {days} AND sale_date_only <= DATE '{CARDS_AS_OF[:10]}'"""
+        for days in (1, 7, 30)) + ")",
+    "card_sales_trend_incremental": f"""
+        SELECT date_trunc('day', sale_hour) AS "date", {_MONEY.format('SUM(total_revenue)')} AS total_revenue,
+               CAST(SUM(order_count) AS BIGINT) AS orders
+        FROM (SELECT date_trunc('hour', sale_date) AS sale_hour, SUM(amount) AS total_revenue, COUNT(*) AS order_count
+              FROM sales_enriched WHERE event_type <> 'error' OR CAST(sale_date_only AS VARCHAR) IN {TREND_DAYS} GROUP BY 1)
+        WHERE sale_hour >= TIMESTAMP '{TREND_AS_OF}' - INTERVAL 30 DAYS GROUP BY 1""",
     # streams
     "stream_silver": """
         SELECT d.sale_id, d.customer_id, d.store_id, d.product_id, p.product_name, p.category, d.amount, d.sale_date,
@@ -461,6 +473,7 @@ _SQL = {
     "stream_hourly_revenue": """
         SELECT * FROM mart_sales
         WHERE sale_hour + INTERVAL 1 HOUR <= (SELECT MAX(sale_date) FROM sales_enriched) - INTERVAL 1 HOUR""",
+    "stream_revenue_corrected": "SELECT * FROM mart_sales",
     "stream_stock_level": """
         SELECT i.product_id, CAST(greatest(i.stock_qty - COALESCE(s.n, 0), 0) AS INT) AS stock_qty, i.restock_threshold
         FROM inventory i LEFT JOIN (SELECT product_id, COUNT(*) AS n FROM sales_enriched GROUP BY product_id) s

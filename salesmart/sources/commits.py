@@ -7,6 +7,7 @@ The file system must offer an atomic rename, as HDFS and local disks do.
 
 ``MergedTable`` puts keyed upserts on top: every batch is one more segment, readers take the newest values of a key, and
 ``compact_step`` merges neighbouring segments of like size, so that a row is rewritten a few times and not in every batch.
+``SummedTable`` does the same for signed changes of totals.
 """
 
 from __future__ import annotations
@@ -143,8 +144,9 @@ class CommittedTable:
         known = {s["name"] for s in self.segments(after)}
         return self._scan([s for s in self.segments(until) if s["name"] not in known]).select(*self.schema.fieldNames())
 
-    def _change(self, run: str | None, df: DataFrame, keep: Callable[[dict], dict | None], at: datetime | str | None) -> int:
-        added = self.write_segment(run, df)
+    def _change(self, run: str | None, df: DataFrame, keep: Callable[[dict], dict | None], at: datetime | str | None,
+                note: dict | None = None) -> int:
+        added = {**self.write_segment(run, df), **(note or {})}
         while True:
             base = self.latest()
             try:
@@ -152,14 +154,14 @@ class CommittedTable:
             except CommitConflict:
                 continue  # what to keep is decided anew on the newest state
 
-    def replace_run(self, run: str, df: DataFrame, at: datetime | str | None = None) -> int:
-        """The rows of one run, in place of an earlier attempt of the same run, in one commit."""
+    def replace_run(self, run: str, df: DataFrame, at: datetime | str | None = None, **note) -> int:
+        """The rows of one run, in place of an earlier attempt of the same run, in one commit; ``note`` is kept with them."""
         def keep(segment: dict) -> dict | None:
             if segment["run"] is None:
                 return {**segment, "struck": sorted({*segment["struck"], run})}
             return segment if segment["run"] != run else None
 
-        return self._change(run, df, keep, at)
+        return self._change(run, df, keep, at, note)
 
     def replace_all(self, df: DataFrame, at: datetime | str | None = None) -> int:
         """A rebuild: the table holds nothing but these rows afterwards; ``df`` may read the table itself."""
@@ -255,7 +257,8 @@ class MergedTable:
             if end - start >= fan_in:
                 part = segments[start:end]
                 order = part[-1]["name"].split("-")[0]
-                merged = self.table.write_segment("", self._merged(self.table._scan(part)), f"{order}-")
+                run = max(s["run"] for s in part)
+                merged = self.table.write_segment(run, self._merged(self.table._scan(part)), f"{order}-")
                 self.table.commit(base, [*segments[:start], merged, *segments[end:]], at)
                 return True
             end -= 1
@@ -272,3 +275,34 @@ class MergedTable:
                 **{c: f"max_by(struct({c}), _segment).{c}" for c in self.updates}}
         merged = f"SELECT {', '.join(f'{pick[c]} AS {c}' for c in names)} FROM ({rows}) WHERE NOT ({loose}) GROUP BY {', '.join(self.keys)}"
         return f"{merged} UNION ALL SELECT {', '.join(names)} FROM ({rows}) WHERE {loose}"
+
+
+class SummedTable(MergedTable):
+    """Totals by key as a log of signed changes: a key's measures are the sums of its rows, combined before the shuffle.
+
+    Runs come in the order of their names; one that is not newer than all runs so far has been added before and is
+    skipped, so a replayed batch does not count twice, also after its segment has been merged with others.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+        super().__init__(spark, path, schema, keys, [])
+        self.measures = [f for f in schema.fields if f.name not in keys]
+
+    def add(self, run: str, changes: DataFrame, at: datetime | str | None = None) -> bool:
+        """Add one run's changes (any number of rows a key); False if the run is known."""
+        base = self.table.latest()
+        segments = self.table.segments(base)
+        if segments and run <= max(s["run"] for s in segments):
+            return False
+        added = self.table.write_segment(run, self._merged(changes), f"{base + 1:012d}-")
+        self.table.commit(base, [*segments, added], at)
+        return True
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in self.measures]
+        return rows.groupBy(*self.keys).agg(*sums).select(*self.table.schema.fieldNames())
+
+    def view_sql(self) -> str | None:
+        rows = self.table.view_sql()
+        sums = ", ".join(f"CAST(sum({f.name}) AS {f.dataType.simpleString()}) AS {f.name}" for f in self.measures)
+        return rows and f"SELECT {', '.join(self.keys)}, {sums} FROM ({rows}) GROUP BY {', '.join(self.keys)}"
