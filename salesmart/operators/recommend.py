@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.expressions import money_sum
 from salesmart.operators.affinity import number_items
-from salesmart.operators.gram import pack_rows
 from salesmart.schemas import SCORE
 from salesmart.session import materialize
 
 FACTORS = 20
 TOP_N = 5
 SCORE_CHUNK = 512  # customers scored at a time in a task
-ITEM_BLOCK = 4096  # products per packed block of V in the distributed form
+ITEM_BLOCK = 4096  # products per packed block of V
+BANDS = 64  # of the lengths of V's rows
 
 _RESULT = "customer_id bigint, item int, score double"
 
@@ -242,35 +242,110 @@ def _chosen(both: DataFrame, mix: np.ndarray) -> DataFrame:
     return both.select("item", "q").mapInArrow(apply, "item int" + "".join(f", {c} double" for c in names))
 
 
-def _score_blocks(rows: DataFrame, cells: DataFrame, factors: DataFrame, width: int, items: DataFrame, top_n: int,
-                  n_customers: int, n_items: int) -> DataFrame:
-    """Best ``top_n`` products per customer and product block.
+class Shelves:
+    """Products in blocks of about ITEM_BLOCK by falling length of their row of V.
 
-    Customers travel in packed chunks and V in packed blocks, so one joined row stands for millions of scores
-    and is reduced to ``top_n`` per customer in the task that made it. The join key is (block, slot): sixteen chunks
-    share a slot, so a copy of a block serves thousands of customers and no block becomes one task.
+    Lengths fall in bands of a quarter of a doubling, at most BANDS of them whatever the catalogue; small neighbouring
+    bands share a block, large ones are cut by a hash, so products of one length do not make one block.
+    """
+
+    def __init__(self, factors: DataFrame, items: DataFrame, width: int) -> None:
+        v = _columns("v", width)
+        rows = materialize(factors.join(items.select("item", "product_id"), "item").select(
+            "item", "product_id", F.array(*v).alias("q"), F.sqrt(sum((F.col(c) * F.col(c) for c in v[1:]), F.col(v[0]) * F.col(v[0]))).alias("length")))
+        longest = rows.agg(F.max("length")).first()[0]
+        band = F.when(F.col("length") > 0, F.least(F.lit(BANDS), F.floor(4 * F.log2(F.lit(longest) / F.col("length"))))).otherwise(F.lit(BANDS)).cast("int")
+        rows = rows.withColumn("band", band)
+        sizes = rows.groupBy("band").agg(F.count("*").alias("n"), F.max("length").alias("bound")).orderBy("band").collect()
+        self.bands: list[tuple[int, int, float]] = []  # first and last block, longest row
+        first, parts, room = -1, [], 0
+        for number, size, bound in sizes:
+            cuts = -(-size // ITEM_BLOCK)
+            if cuts == 1 and size <= room:
+                room -= size
+            else:
+                first = (self.bands[-1][1] if self.bands else -1) + 1
+                room = ITEM_BLOCK - size if cuts == 1 else 0
+            self.bands.append((first, first + cuts - 1, bound))
+            parts.append(F.when(F.col("band") == number, first + F.pmod(F.xxhash64("item"), F.lit(cuts))))
+        self.rows = rows.withColumn("block", F.coalesce(*parts).cast("int")).drop("band", "length")
+        self.blocks = self.bands[-1][1] + 1
+
+    def needed(self, length, floor, start: int, end: int):
+        """The blocks from ``start`` to before ``end`` where a row of this length could reach ``floor``: by Cauchy and
+        Schwarz no score exceeds the product of the lengths. Ties with the floor count, rounding is allowed for."""
+        best: dict[int, float] = {}
+        for first, last, bound in self.bands:
+            for block in (first,) if first == last else range(first, last + 1):
+                best[block] = max(bound, best.get(block, 0.0))
+        spans: list[list] = []  # neighbouring blocks with one bound are one entry
+        for block in range(start, end):
+            if spans and spans[-1][2] == best[block]:
+                spans[-1][1] = block
+            else:
+                spans.append([block, block, best[block]])
+        known = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(x)).alias("bound")) for i, j, x in spans))
+        good = F.filter(known, lambda s: floor.isNull() | (length * s["bound"] * (1 + 1e-9) >= floor))
+        return F.flatten(F.transform(good, lambda s: F.sequence(s["i"], s["j"])))
+
+
+def best_scores(cells: DataFrame, factors: DataFrame, width: int, items: DataFrame, top_n: int, n_customers: int,
+                scored: list[int] | None = None) -> DataFrame:
+    """(customer_id, item, score): at least the best ``top_n`` unbought products of every customer.
+
+    The first block holds the products with the longest rows of V. Each round scores twice as many blocks as all rounds
+    before, for the customers only whose n-th score so far a product there could still reach; who is out of reach of
+    the next band leaves for good, since lengths fall. A catalogue of one block is one round. Customers and products
+    travel in packs, one joined row stands for millions of scores, and a pack is reduced to ``top_n`` a customer in the
+    task that made it. The number of scores computed goes to ``scored``, if given.
+    """
+    shelves = Shelves(factors, items, width)
+    latent = _pushed(cells, factors, "item", "customer_id", width).select("customer_id", F.array(*_columns("v", width)).alias("p"))
+    bought = cells.join(shelves.rows.select("item", "block"), "item").groupBy("customer_id").agg(
+        F.collect_list(F.struct("block", "item")).alias("bought"))
+    length = F.sqrt(F.aggregate("p", F.lit(0.0), lambda total, x: total + x * x))
+    people = latent.join(bought, "customer_id").withColumn("length", length).withColumn("floor", F.lit(None).cast("double"))
+    if shelves.blocks > 1:
+        people = materialize(people)
+    start, found = 0, None
+    while start < shelves.blocks:
+        end = min(shelves.blocks, max(1, 2 * start))
+        now = people.withColumn("block", F.explode(shelves.needed(F.col("length"), F.col("floor"), start, end)))
+        if scored is not None:
+            sizes = shelves.rows.groupBy("block").agg(F.count("*").alias("n"))
+            scored.append(now.join(sizes, "block").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        fresh = _scored(now, shelves.rows.where(F.col("block").between(start, end - 1)), top_n, n_customers)
+        found = fresh if found is None else found.unionByName(fresh)
+        start = end
+        if start < shelves.blocks:
+            found = materialize(top_per_customer(found.join(items.select("item", "product_id"), "item"), top_n)).select(
+                "customer_id", "item", "score")
+            floors = found.groupBy("customer_id").agg(F.when(F.count("*") >= top_n, F.min("score")).alias("floor"))
+            people = people.drop("floor").join(floors, "customer_id", "left")
+            people = materialize(people.where(F.size(shelves.needed(F.col("length"), F.col("floor"), start, shelves.blocks)) > 0))
+            if people.isEmpty():
+                break
+    return found
+
+
+def _scored(people: DataFrame, products: DataFrame, top_n: int, n_customers: int) -> DataFrame:
+    """Best ``top_n`` products per customer and block, of rows (customer_id, p, bought, block).
+
+    The join key is (block, slot): sixteen packs of customers share a slot, so a copy of a block serves thousands of
+    customers and no block becomes one task.
     """
-    v = _columns("v", width)
-    latent = _pushed(cells, factors, "item", "customer_id", width)
     chunks = max(1, -(-n_customers // SCORE_CHUNK))
-    blocks, spread = -(-n_items // ITEM_BLOCK), -(-chunks // 16)
-    person = F.struct("customer_id", F.array(*v).alias("p"), F.col("idx").alias("bought"))
+    spread = -(-chunks // 16)
+    # What a customer bought travels to the block it belongs to only.
+    here = F.transform(F.filter("bought", lambda x: x["block"] == F.col("block")), lambda x: x["item"])
     packed = (
-        latent.join(rows.select("customer_id", "idx"), "customer_id")
-        .groupBy(F.pmod(F.xxhash64("customer_id"), F.lit(chunks)).alias("chunk"))
-        .agg(F.collect_list(person).alias("people"))
-        .select("people", F.pmod("chunk", F.lit(spread)).alias("slot"),
-                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        # What a customer bought travels to the block it belongs to only.
-        .withColumn("people", F.transform("people", lambda x: F.struct(
-            x["customer_id"].alias("customer_id"), x["p"].alias("p"),
-            F.filter(x["bought"], lambda i: F.floor(i / ITEM_BLOCK) == F.col("block")).alias("bought"))))
+        people.select("block", F.struct("customer_id", "p", here.alias("bought")).alias("person"),
+                      F.pmod(F.xxhash64("customer_id"), F.lit(chunks)).alias("chunk"))
+        .groupBy("block", "chunk").agg(F.collect_list("person").alias("people"))
+        .select("block", F.pmod("chunk", F.lit(spread)).alias("slot"), "people")
     )
-    product = F.struct("item", "product_id", F.array(*v).alias("q"))
     shelves = (
-        factors.join(items.select("item", "product_id"), "item")
-        .groupBy(F.floor(F.col("item") / ITEM_BLOCK).cast("int").alias("block"))
-        .agg(F.collect_list(product).alias("shelf"))
+        products.groupBy("block").agg(F.collect_list(F.struct("item", "product_id", "q")).alias("shelf"))
         .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
     )
     schema = pa.schema([("customer_id", pa.int64()), ("item", pa.int32()), ("score", pa.float64())])
@@ -287,9 +362,8 @@ def _score_blocks(rows: DataFrame, cells: DataFrame, factors: DataFrame, width:
                 lengths = np.diff(bought.offsets.to_numpy())
                 owner, cols = np.repeat(np.arange(len(people)), lengths), bought.flatten().to_numpy()
                 by_item = np.argsort(item)
-                place = np.minimum(np.searchsorted(item, cols, sorter=by_item), len(item) - 1)
-                here = item[by_item[place]] == cols
-                who, what, value = _best(p @ q.T, owner[here], by_item[place[here]], ids, top_n)
+                place = by_item[np.searchsorted(item, cols, sorter=by_item)]
+                who, what, value = _best(p @ q.T, owner, place, ids, top_n)
                 columns = [people.field("customer_id").to_numpy()[who], item[what].astype(np.int32), value]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
@@ -321,9 +395,8 @@ def recommend(
     items = materialize(number_items(spend.select("product_id").distinct(), "product_id"))
     cells = materialize(
         spend.join(items, "product_id").select("customer_id", "item", F.col("spend").cast("double").alias("spend")))
-    rows = pack_rows(cells, "customer_id", "item", "spend")
     vectors, width, _ = krylov_factors(cells, items, k)
-    scored = _score_blocks(rows, cells, materialize(vectors), width, items, top_n, n_customers, n_items)
+    scored = best_scores(cells, materialize(vectors), width, items, top_n, n_customers)
     best = top_per_customer(scored.join(items, "item"), top_n)
     named = best.join(names, "product_id", "left")
     label = F.col("product_name")

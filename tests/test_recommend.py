@@ -104,3 +104,28 @@ def test_ties_go_to_the_smaller_product_id():
     none = np.zeros(0, dtype=int)
     _, cols, _ = R._best(scores, none, none, np.array([50, 40, 30, 20, 10]), 2)
     assert cols.tolist() == [3, 2]
+
+
+@pytest.mark.parametrize("spectrum, share", [("flat", 1.0), ("decaying", 1 / 3)])
+def test_blocks_out_of_reach_are_not_scored(spark, monkeypatch, spectrum, share):
+    """Equal to all scores; where the lengths of the products' vectors decay, most scores are never computed."""
+    monkeypatch.setattr(R, "ITEM_BLOCK", 16)
+    rng = np.random.default_rng(5)
+    n, m, k = 60, 400, 3
+    v = rng.normal(size=(m, k))
+    v *= (np.ones(m) if spectrum == "flat" else 0.97 ** np.arange(m))[:, None] / np.linalg.norm(v, axis=1)[:, None]
+    v[50] = v[51] = v[49]  # ties
+    spend = np.where(rng.random((n, m)) < 0.05, rng.integers(1, 100, (n, m)), 0).astype(float)
+    spend[:, 0] = 1
+    c, i = np.nonzero(spend)
+    cells = R.materialize(spark.createDataFrame(pd.DataFrame({"customer_id": c, "item": i.astype(np.int32), "spend": spend[c, i]})))
+    vectors = spark.createDataFrame(pd.DataFrame({"item": np.arange(m, dtype=np.int32), **{f"v{j}": v[:, j] for j in range(k)}}))
+    items = spark.createDataFrame(pd.DataFrame({"item": np.arange(m, dtype=np.int32), "product_id": m - np.arange(m)}))
+    scored = []
+    best = R.top_per_customer(R.best_scores(cells, vectors, k, items, 5, n, scored).join(items, "item"), 5).toPandas()
+    scores = np.where(spend > 0, -np.inf, spend @ v @ v.T)
+    for customer in range(n):
+        want = sorted(range(m), key=lambda x: (-round(scores[customer, x], 9), m - x))[:5]
+        assert best[best.customer_id == customer].sort_values("rank").item.tolist() == want
+    assert sum(scored) <= share * n * m
+    assert len(scored) > 1
