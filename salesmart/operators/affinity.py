@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from salesmart.session import materialize
 MIN_CUSTOMERS = 10
 MIN_SUPPORT = "0.01"
 MIN_CONFIDENCE = "0.2"
+PREFIX = 256  # pairs of one prefix product that a task extends
 
 
 def customer_basket(sales: DataFrame) -> DataFrame:
@@ -142,6 +145,86 @@ def association_rules(
     return rules_from_pairs(pair_support(basket, threshold), n_baskets, min_confidence)
 
 
+def _customer_bitmaps(frequent: DataFrame) -> DataFrame:
+    """(product_name, bucket, bits): each product's customers as bitmaps of 32,768 ids."""
+    return frequent.groupBy("product_name", F.bitmap_bucket_number("customer_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("bits"))
+
+
+def triple_support(basket: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """Customers per frequent set of three products (``product_a`` < ``product_b`` < ``product_c``).
+
+    Vertical mining by prefix: a task gets one prefix product and one range of customers, with the bitmaps of the
+    products that form frequent pairs with it. It intersects each pair's bitmap with those of all later partners and
+    emits counts only. A prefix is as large as it has partners, 4 KB each; a popular one is split by customers and, where
+    it has more than PREFIX pairs to extend, by these.
+    """
+    bitmaps = materialize(_customer_bitmaps(basket.where("customer_id is not null")))
+    partners = pairs.select(F.col("product_a").alias("a"), F.col("product_b").alias("product_name"))
+    place = Window.partitionBy("a").orderBy("product_name")
+    partners = partners.withColumn("place", F.row_number().over(place) - 1)
+    sizes = partners.groupBy("a").agg(F.ceil(F.count("*") / PREFIX).cast("int").alias("shares"))
+    own = bitmaps.select(F.col("product_name").alias("a"), "bucket", F.col("bits").alias("own"))
+    held = (
+        partners.join(sizes, "a").join(bitmaps, "product_name").join(own, ["a", "bucket"])
+        .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        # A share extends its own pairs, by partners that come later: earlier ones need not travel to it.
+        .where(F.floor(F.col("place") / PREFIX) >= F.col("share"))
+    )
+
+    def intersect(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("product_name", ignore_index=True)
+        names, share = group["product_name"].to_numpy(object), group["share"].iloc[0]
+        width = len(group["bits"].iloc[0]) // 8
+        bits = np.frombuffer(b"".join(group["bits"]), np.uint64).reshape(-1, width)
+        pair = bits & np.frombuffer(group["own"].iloc[0], np.uint64)
+        one, two, counts = [], [], []
+        for i in np.flatnonzero(group["place"].to_numpy() // PREFIX == share):
+            n = np.bitwise_count(pair[i] & bits[i + 1:]).sum(axis=1, dtype=np.int64)
+            some = np.flatnonzero(n)
+            one += [names[i]] * len(some)
+            two += names[i + 1:][some].tolist()
+            counts += n[some].tolist()
+        as_objects = lambda texts: pd.Series(texts, dtype=object)
+        return pd.DataFrame({"product_a": as_objects([group["a"].iloc[0]] * len(one)), "product_b": as_objects(one),
+                             "product_c": as_objects(two), "customers": pd.Series(counts, dtype="int64")})
+
+    counts = held.groupBy("a", "bucket", "share").applyInPandas(
+        intersect, "product_a string, product_b string, product_c string, customers long")
+    return counts.groupBy("product_a", "product_b", "product_c").agg(F.sum("customers").alias("customers")).where(
+        F.col("customers") >= threshold)
+
+
+def two_item_rules(sales: DataFrame, min_support: str = MIN_SUPPORT, min_confidence: str = MIN_CONFIDENCE) -> DataFrame:
+    """Rules {product, product} → product, in the measures of ``association_rules``; sets of three are the longest mined.
+
+    A customer without an id is no basket. The threshold is ``min_support`` of all customers, at least ten.
+    """
+    bought = materialize(sales.where("customer_id is not null").select("customer_id", "product_name").distinct())
+    named = F.when(F.col("product_name").isNotNull(), F.col("customer_id"))
+    n_customers, n_baskets = bought.agg(F.count_distinct("customer_id"), F.count_distinct(named)).first()
+    threshold = support_threshold(n_customers, min_support)
+    basket = bought.where(F.col("product_name").isNotNull())
+    often = materialize(item_support(basket).where(F.col("customers") >= threshold))
+    frequent = basket.join(often.select("product_name"), "product_name")
+    pairs = materialize(pair_support(basket, threshold))
+    triples = triple_support(frequent, pairs, threshold)
+    a, b, c = F.col("product_a"), F.col("product_b"), F.col("product_c")
+    rule = lambda x, y, z: F.struct(x.alias("antecedent_a"), y.alias("antecedent_b"), z.alias("consequent"))
+    rules = triples.select(F.explode(F.array(rule(a, b, c), rule(a, c, b), rule(b, c, a))).alias("r"), "customers").select("r.*", "customers")
+    both = pairs.select(F.col("product_a").alias("antecedent_a"), F.col("product_b").alias("antecedent_b"), "pair_customers")
+    single = often.select(F.col("product_name").alias("consequent"), F.col("customers").alias("n_cons"))
+    cut, n = Fraction(min_confidence), F.lit(n_baskets).cast("decimal(12,0)")
+    kept = rules.join(both, ["antecedent_a", "antecedent_b"]).where(
+        F.col("customers") * cut.denominator >= F.col("pair_customers") * cut.numerator).join(single, "consequent")
+    whole = [F.col(name).cast("decimal(12,0)") for name in ("customers", "pair_customers", "n_cons")]
+    return kept.select(
+        "antecedent_a", "antecedent_b", "consequent",
+        exact_ratio(F.col("customers"), F.lit(n_baskets)).cast(RATIO).alias("support"),
+        exact_ratio(F.col("customers"), F.col("pair_customers")).cast(RATIO).alias("confidence"),
+        exact_ratio(whole[0] * n, whole[1] * whole[2]).cast(RATIO).alias("lift"))
+
+
 def top_rules(rules: DataFrame, n: int | None = None) -> DataFrame:
     """Rules by lift, strongest first."""
     ranked = rules.orderBy(F.desc("lift"), "antecedent", "consequent")

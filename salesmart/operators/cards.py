@@ -238,11 +238,25 @@ def recency_values(mart_account: DataFrame, latest_only: bool = False) -> DataFr
     return _snapshots(mart_account, latest_only).select(F.col("recency_days").alias("value")).orderBy("value")
 
 
-def histogram(values: DataFrame, width: str, column: str = "value") -> DataFrame:
+#: The widths that a histogram chooses from: 1, 2 and 5 times a power of ten, in units of 0.0001; and about how many buckets.
+WIDTHS = [digit * 10**power for power in range(17) for digit in (1, 2, 5)]
+BUCKETS = 30
+
+
+def histogram(values: DataFrame, width: str | None = None, column: str = "value") -> DataFrame:
     """Counts per equal-width bucket, computed on the cluster instead of in the charting client.
 
-    ``width`` is decimal text: bucket edges are exact, so 0.7 is not 0.7000000000000001.
+    ``width`` is decimal text: bucket edges are exact, so 0.7 is not 0.7000000000000001. Without it the width is the
+    smallest of WIDTHS that covers the values' range in at most BUCKETS steps, found by one aggregate over the column
+    inside the same query; values count in units of 0.0001. Missing values are one bucket of their own.
     """
+    if width is None:
+        units = values.select((F.round(F.col(column).cast("decimal(18,4)"), 4) * 10_000).cast("bigint").alias("u"))
+        steps = F.array(*(F.lit(w).cast("bigint") for w in WIDTHS))
+        span = units.agg((F.max("u") - F.min("u")).alias("span"))
+        step = span.select(F.get(F.filter(steps, lambda w: F.col("span") <= BUCKETS * w), F.lit(0))).scalar()
+        start = ((F.col("u") - F.pmod(F.col("u"), step)).cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
+        return units.groupBy(start.alias("bucket")).agg(_count("values")).orderBy("bucket")
     step = F.lit(Decimal(width))
     bucket = (F.floor(F.col(column).cast("decimal(18,4)") / step) * step).cast("decimal(18,4)")
     return values.groupBy(bucket.alias("bucket")).agg(_count("values")).orderBy("bucket")

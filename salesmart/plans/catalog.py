@@ -31,6 +31,7 @@ STOCK_FROM, STOCK_TO = "2024-01-15 12:00:00", "2024-01-15 18:00:00"
 RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-08-01 23:00:00"  # the last after the last order
 RFM_STALE_BEFORE = "2001-03-01 00:00:00"
 EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-31 23:00:00"  # the last after the last event
+RULES_SUPPORT = "0.05"
 HISTORY_CUT = "2024-01-15 00:00:00"
 TREND_DAYS, TREND_AS_OF = ("2024-01-15", "2024-01-20"), "2024-02-10 18:00:00"  # the card begins inside a day
 CF_CUSTOMER = 1
@@ -347,6 +348,12 @@ def affinity_rules_top(spark, sf_dir):
     return affinity.top_rules(_rules(spark, sf_dir), 5)
 
 
+@query
+def affinity_rules_two_items(spark, sf_dir):
+    """Rules with two antecedents that a twentieth of all customers support."""
+    return affinity.two_item_rules(samples.line_sales(spark, sf_dir), RULES_SUPPORT)
+
+
 @query
 def user_item_spend(spark, sf_dir):
     return recommend.user_item_spend(samples.sales_enriched(spark, sf_dir))
@@ -452,9 +459,11 @@ def _register_cards() -> None:
     _card("panel_top20_customers", cards.top20_customers, _account_mart)
     _card("panel_recency_values", cards.recency_values, _account_mart)
     _card("panel_recency_histogram", lambda mart: cards.histogram(cards.recency_values(mart), "30"), _account_mart)
+    _card("panel_recency_histogram_auto", lambda mart: cards.histogram(cards.recency_values(mart)), _account_mart)
     _card("panel_top_rules", cards.top_rules, _rules)
     _card("panel_lift_values", cards.lift_values, _rules)
     _card("panel_lift_histogram", lambda mart: cards.histogram(cards.lift_values(mart), "0.1"), _rules)
+    _card("panel_lift_histogram_auto", lambda mart: cards.histogram(cards.lift_values(mart)), _rules)
     _card("card_cf_for_customer", lambda mart: cards.cf_for_customer(mart, CF_CUSTOMER), _recommendation_mart)
     _card("panel_top_recommended", cards.top_recommended, _recommendation_mart)
 

@@ -80,6 +80,18 @@ def _mean(total: str, count: str, scale: int, digits: int = 20) -> str:
     return f"CAST(CAST({rounded} AS DECIMAL(30,0)) * CAST({10**-scale:.{scale}f} AS DECIMAL(3,{scale})) AS DECIMAL({digits},{scale}))"
 
 
+def _auto_histogram(source: str, value: str) -> str:
+    """Buckets of the smallest 1-2-5 width, in units of 0.0001, that covers the range in 30 steps."""
+    widths = ", ".join(f"({digit}{'0' * power})" for power in range(17) for digit in (1, 2, 5))
+    return f"""
+        SELECT CAST(CAST(u - ((u % w) + w) % w AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) AS bucket,
+               COUNT(*) AS "values"
+        FROM (SELECT CAST({value} * 10000 AS BIGINT) AS u FROM {source}) v,
+             (SELECT MIN(w) AS w FROM (SELECT CAST(w AS BIGINT) AS w FROM (VALUES {widths}) x(w)) y
+              WHERE 30 * CAST(w AS HUGEINT) >= (SELECT CAST((MAX({value}) - MIN({value})) * 10000 AS BIGINT) FROM {source})) s
+        GROUP BY 1"""
+
+
 def _ratio(num: str, den: str) -> str:
     """Quotient of integers rounded half up to four decimals."""
     n, d = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)"
@@ -356,6 +368,23 @@ _SQL = {
         SELECT p.product_a, p.product_b, x.customers AS customers_a, y.customers AS customers_b, p.pair_customers
         FROM pairs p JOIN items x ON x.product_name = p.product_a JOIN items y ON y.product_name = p.product_b""",
     "affinity_rules": "SELECT * FROM rules",
+    "affinity_rules_two_items": f"""
+        SELECT r.antecedent_a, r.antecedent_b, r.consequent, {_ratio('r.n', 'z.n')} AS support,
+               {_ratio('r.n', 'p.n')} AS confidence,
+               {_ratio('r.n * CAST(z.n AS HUGEINT)', 'CAST(p.n AS HUGEINT) * y.customers')} AS lift
+        FROM (SELECT t.x AS antecedent_a, t.y AS antecedent_b, t.z AS consequent, n FROM (SELECT n,
+                     unnest([{{'x': a, 'y': b, 'z': c}}, {{'x': a, 'y': c, 'z': b}}, {{'x': b, 'y': c, 'z': a}}]) AS t
+              FROM (SELECT a.product_name AS a, b.product_name AS b, c.product_name AS c, COUNT(*) AS n
+                    FROM basket a JOIN basket b ON b.customer_id = a.customer_id AND a.product_name < b.product_name
+                    JOIN basket c ON c.customer_id = a.customer_id AND b.product_name < c.product_name
+                    GROUP BY 1, 2, 3 HAVING COUNT(*) >= (SELECT greatest(10, CAST(ceil(COUNT(DISTINCT customer_id) / 20.0) AS BIGINT))
+                                                         FROM line_sales)))) r
+        JOIN (SELECT a.product_name AS a, b.product_name AS b, COUNT(*) AS n
+              FROM basket a JOIN basket b ON b.customer_id = a.customer_id GROUP BY 1, 2) p
+          ON p.a = r.antecedent_a AND p.b = r.antecedent_b
+        JOIN items y ON y.product_name = r.consequent
+        CROSS JOIN (SELECT COUNT(DISTINCT customer_id) AS n FROM basket) z
+        WHERE 5 * r.n >= p.n""",
     "affinity_rules_top": "SELECT * FROM rules ORDER BY lift DESC, antecedent, consequent LIMIT 5",
     "user_item_spend": "SELECT customer_id, product_id, spend FROM spend",
     "user_item_pivot": "SELECT customer_id, " + ", ".join(
@@ -422,6 +451,8 @@ _SQL = {
     "panel_recency_histogram": """
         SELECT CAST(floor(recency_days / 30.0) * 30 AS DECIMAL(18,4)) AS bucket, COUNT(*) AS "values"
         FROM mart_account GROUP BY 1""",
+    "panel_recency_histogram_auto": _auto_histogram("mart_account", "recency_days"),
+    "panel_lift_histogram_auto": _auto_histogram("rules", "lift"),
     "panel_top_rules": """
         SELECT antecedent, consequent, CAST(ROUND(confidence, 3) AS DECIMAL(12,3)) AS confidence,
                CAST(ROUND(support, 3) AS DECIMAL(12,3)) AS support, CAST(ROUND(lift, 3) AS DECIMAL(12,3)) AS lift
