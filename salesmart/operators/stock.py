@@ -51,13 +51,14 @@ def alerts_due(movement: DataFrame, alerts: DataFrame, as_of: datetime | str) ->
     )
 
 
-def new_alerts(movement: DataFrame, alerts: DataFrame, as_of: datetime | str) -> DataFrame:
-    """The alerts due, with ids that continue the existing ones.
+def new_alerts(movement: DataFrame, alerts: DataFrame, as_of: datetime | str, latest: DataFrame | None = None) -> DataFrame:
+    """The alerts due, with ids that continue those of ``latest``, which defaults to ``alerts``.
 
-    Numbering reads the alerts due twice, so they are written once to the checkpoint folder first.
+    ``alerts`` need not reach back further than the hour of silence. Numbering reads the alerts due twice, so they are written once to the checkpoint folder first.
     """
     due = materialize(alerts_due(movement, alerts, as_of))
-    numbered = assign_serial(due, "product_id", alerts.agg(F.max("alert_id")), "alert_id")
+    known = alerts if latest is None else latest
+    numbered = assign_serial(due, "product_id", known.agg(F.max("alert_id")), "alert_id")
     return numbered.select("alert_id", "product_id", "stock_qty", "threshold", "alert_time", "resolved")
 
 

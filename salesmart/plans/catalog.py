@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from salesmart.functions.expressions import at, cut
 from salesmart.operators import affinity, cards, fast_track, maintained, marts, quality, recommend, rfm, silver, stock, upsert
 from salesmart.operators.gram import gram, pack_rows
+from salesmart.plans import jobs
 from salesmart.schemas import LAKE_PARTITIONS, MONEY
 from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
@@ -31,6 +32,7 @@ STOCK_FROM, STOCK_TO = "2024-01-15 12:00:00", "2024-01-15 18:00:00"
 RFM_PREVIOUS, RFM_AS_OF = "2001-05-31 23:00:00", "2001-08-01 23:00:00"  # the last after the last order
 RFM_STALE_BEFORE = "2001-03-01 00:00:00"
 EDGE_PREVIOUS, EDGE_AS_OF = "2024-01-14 23:00:00", "2024-01-31 23:00:00"  # the last after the last event
+BROKEN_DAYS = ("05", "17")
 RULES_SUPPORT = "0.05"
 HISTORY_CUT = "2024-01-15 00:00:00"
 TREND_DAYS, TREND_AS_OF = ("2024-01-15", "2024-01-20"), "2024-02-10 18:00:00"  # the card begins inside a day
@@ -99,6 +101,25 @@ def silver_rebuild(spark, sf_dir):
     return silver.enrich(clean, samples.products(spark, sf_dir))
 
 
+@query
+def raw_quarantine(spark, sf_dir):
+    """A rebuild from a lake with a file for every day, two of them broken: the verification row and the broken files."""
+    wh = _stream_warehouse(spark, sf_dir)
+    days = lake.with_partitions(samples.raw_sales(spark, sf_dir), cut("day", F.col("sale_date")))
+    days.repartition("day").sortWithinPartitions("arrival_seq").write.partitionBy(*LAKE_PARTITIONS).parquet(wh.raw)
+    jvm = spark.sparkContext._jvm
+    for day in BROKEN_DAYS:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{wh.raw}/year=2024/month=01/day={day}/hour=00")
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(folder):
+            out = fs.create(status.getPath(), True)
+            out.write(bytearray(b"PAR1 and no more"))
+            out.close()
+    check = jobs.rebuild_silver(wh, CARDS_AS_OF)
+    broken = F.transform("skipped_files", lambda f: F.concat(F.regexp_extract(f["path"], "day=([0-9]+)", 1), F.lit(" "), f["reason"]))
+    return check.select("total", "has_name", "from_date", "to_date", F.array_join(F.array_sort(broken), ", ").alias("broken"))
+
+
 @query
 def silver_verify(spark, sf_dir):
     return silver.verify_silver(samples.sales_enriched(spark, sf_dir))

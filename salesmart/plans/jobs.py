@@ -55,19 +55,21 @@ def rebuild_silver(wh: Warehouse, processed_at: datetime | str | None = None) ->
     """Rebuild the fact table from all raw files, cleaning file by file; a file that breaks anywhere stays out whole.
 
     The new rows are one commit: readers see the old table until then, also where the rebuild fails on the way.
-    Returns the verification row (rows, named rows, date span) with the paths of the files that were left out.
+    Returns the verification row (rows, named rows, date span) with the files that were left out and what is broken in
+    them. Only a broken file is left out: an error of storage or of an executor fails the rebuild.
     """
     products = wh.latest_or_empty("products")
     if products.isEmpty():
         raise ValueError("the products table is empty: load it before a rebuild")
     skipped = lake.unreadable_files(wh.spark, lake.lake_files(wh.spark, wh.raw))
-    raw = lake.read_lake(wh.spark, wh.raw, skipped)
+    raw = lake.read_lake(wh.spark, wh.raw, [path for path, _ in skipped])
     ingest = F.concat("year", "month", "day", "hour").alias("ingest")
     clean = quality.clean_batch(raw, scope=["_file"]).select("*", ingest)
     rows = silver.enrich(clean, products, processed_at or _now(), keep=("ingest",))
     facts = wh.committed("silver.sales_enriched")
     version = facts.replace_all(rows)
-    left_out = F.array(*map(F.lit, skipped)).cast("array<string>").alias("skipped_files")
+    broken = [F.struct(F.lit(path).alias("path"), F.lit(reason).alias("reason")) for path, reason in skipped]
+    left_out = F.array(*broken).cast("array<struct<path: string, reason: string>>").alias("skipped_files")
     return silver.verify_silver(facts.read(version)).select("*", left_out)
 
 
@@ -85,7 +87,14 @@ def stock_hour(wh: Warehouse, run_at: datetime | str, window: tuple | None = Non
     if sold.isEmpty():
         return
     alerts = wh.read("inventory_alerts").where(F.col("run") < version)
-    due = stock.new_alerts(stock.stock_movement(inventory, sold), alerts, run_at)
+    # Partitions prune both reads: the hour of silence, and the newest run that raised an alert.
+    silent = alerts.where(F.col("run") >= stamp_text(now - timedelta(hours=1)))
+    latest = alerts.where(F.lit(False))
+    for run in reversed([r for r in wh.runs("inventory_alerts", "run") if r < version]):
+        latest = alerts.where(F.col("run") == run)
+        if not latest.isEmpty():
+            break
+    due = stock.new_alerts(stock.stock_movement(inventory, sold), silent, run_at, latest)
     wh.replace_run("inventory_alerts", "run", version, due)
     wh.save_version("inventory", version, stock.deduct_stock(inventory, sold, run_at))
 

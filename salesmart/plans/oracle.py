@@ -7,6 +7,7 @@ functions instead of merges, integer arithmetic instead of decimal division.
 from __future__ import annotations
 
 from salesmart.plans.catalog import (
+    BROKEN_DAYS,
     CARDS_AS_OF,
     CF_CUSTOMER,
     EDGE_AS_OF,
@@ -267,6 +268,13 @@ _SQL = {
         FROM (SELECT COUNT(*) AS n FROM raw_sales) b, (SELECT COUNT(*) AS n FROM first_sales WHERE amount > 0) a""",
     "silver_enriched": "SELECT * FROM sales_enriched",
     "silver_rebuild": "SELECT * EXCLUDE (event_type) FROM sales_enriched",
+    "raw_quarantine": f"""
+        SELECT COUNT(*) AS total, COUNT(product_name) AS has_name, MIN(CAST(sale_date AS DATE)) AS from_date,
+               MAX(CAST(sale_date AS DATE)) AS to_date, '{', '.join(f'{day} footer' for day in BROKEN_DAYS)}' AS broken
+        FROM (SELECT *, row_number() OVER (PARTITION BY sale_id, CAST(sale_date AS DATE) ORDER BY arrival_seq) AS rn
+              FROM raw_sales WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL) d
+        LEFT JOIN products p ON p.product_id = d.product_id
+        WHERE d.rn = 1 AND d.amount > 0 AND strftime(sale_date, '%m-%d') NOT IN {tuple('01-' + day for day in BROKEN_DAYS)}""",
     "silver_verify": """
         SELECT COUNT(*) AS total, COUNT(product_name) AS has_name, MIN(sale_date_only) AS from_date,
                MAX(sale_date_only) AS to_date FROM sales_enriched""",

@@ -19,6 +19,8 @@ from salesmart.operators.quality import with_file_order
 from salesmart.schemas import FAST_TRACK_PARTITIONS, LAKE_PARTITIONS, LAKE_SALES
 
 _FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
+#: What readers say of pages that do not decode.
+_BROKEN_DATA = ("could not read page", "Could not decompress", "FAILED_TO_UNCOMPRESS", "can not read class org.apache.parquet")
 
 
 def with_partitions(df: DataFrame, moment: Column, parts: Sequence[str] = LAKE_PARTITIONS) -> DataFrame:
@@ -129,8 +131,24 @@ def lake_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(row.path for row in files.collect())
 
 
-def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Those of ``paths`` that cannot be read to their end.
+def corruption(error: Exception) -> str | None:
+    """What is broken in a parquet file that could not be read: ``footer`` or ``data``; None for any other error.
+
+    Lost executors, storage that does not answer, missing files and denied access are no corruption.
+    """
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        kind, text = cause.getClass().getName(), cause.getMessage() or ""
+        if "is not a Parquet file" in text or "corrupted file: the footer" in text:
+            return "footer"
+        if kind.startswith("org.apache.parquet.") or any(sign in text for sign in _BROKEN_DATA):
+            return "data"
+        cause = cause.getCause()
+    return None
+
+
+def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """Those of ``paths`` that are no sound parquet files, with what is broken; any other error is raised.
 
     All files are read at once; where that fails, each half again, so a few broken files among many cost some passes
     over ever smaller parts and no job for every file.
@@ -140,9 +158,11 @@ def unreadable_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     try:
         spark.read.parquet(*paths).write.format("noop").mode("overwrite").save()
         return []
-    except (PySparkException, Py4JJavaError):  # a broken footer fails in the driver's own job
+    except (PySparkException, Py4JJavaError) as error:  # a broken footer fails in the driver's own job
+        if (reason := corruption(error)) is None:
+            raise
         if len(paths) == 1:
-            return list(paths)
+            return [(paths[0], reason)]
     middle = len(paths) // 2
     return unreadable_files(spark, paths[:middle]) + unreadable_files(spark, paths[middle:])
 

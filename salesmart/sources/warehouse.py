@@ -95,28 +95,36 @@ class Warehouse:
         rows = self.conform(name, df.withColumn(column, F.lit(run))).drop(column)
         rows.write.mode("overwrite").parquet(f"{self.path(name)}/{column}={run}")
 
+    def runs(self, name: str, column: str) -> list[str]:
+        """The runs that have written to a table, oldest first: a listing of one directory."""
+        return [value for value, _ in self._folders(name, column)]
+
     # --- versioned snapshots ---
 
-    def versions(self, name: str) -> list[str]:
-        """Complete versions, oldest first."""
+    def _folders(self, name: str, column: str) -> list:
         jvm = self.spark.sparkContext._jvm
         base = jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(base):
             return []
-        found = []
-        for status in fs.listStatus(base):
-            folder = status.getPath()
-            if folder.getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-                found.append(folder.getName().removeprefix("version="))
-        return sorted(found)
+        folders = (status.getPath() for status in fs.listStatus(base))
+        prefix = f"{column}="
+        return sorted(((p.getName().removeprefix(prefix), p) for p in folders if p.getName().startswith(prefix)), key=lambda x: x[0])
+
+    def _complete(self, folder) -> bool:
+        marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+    def versions(self, name: str) -> list[str]:
+        """Complete versions, oldest first."""
+        return [version for version, folder in self._folders(name, "version") if self._complete(folder)]
 
     def latest(self, name: str, before: str | None = None) -> DataFrame | None:
         """Newest version, or the newest one older than ``before``; None when there is none."""
-        usable = [v for v in self.versions(name) if before is None or v < before]
-        if not usable:
-            return None
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path(name)}/version={usable[-1]}")
+        for version, folder in reversed(self._folders(name, "version")):  # only the newest ones are looked into
+            if (before is None or version < before) and self._complete(folder):
+                return self.spark.read.schema(TABLES[name]).parquet(f"{self.path(name)}/version={version}")
+        return None
 
     def latest_or_empty(self, name: str, before: str | None = None) -> DataFrame:
         found = self.latest(name, before)

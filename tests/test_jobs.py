@@ -136,7 +136,22 @@ def test_rebuild_equals_hourly_silver_and_skips_bad_files(two_days, spark, sf, t
     check = jobs.rebuild_silver(wh, "2024-03-01 00:00:00").first()
     assert rows(wh.read("silver.sales_enriched")) == rows(two_days.read("silver.sales_enriched"))
     assert check.total == wh.read("silver.sales_enriched").count() and check.has_name < check.total
-    assert len(check.skipped_files) == 1
+    assert [(f.path.rsplit("/", 1)[1], f.reason) for f in check.skipped_files] == [("broken.parquet", "footer")]
+
+
+def test_only_broken_files_are_quarantined(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "cast(id * 7 as string) s").coalesce(1).write.parquet(str(tmp_path / "a"))
+    sound = glob.glob(f"{tmp_path}/a/*.parquet")[0]
+    data = open(sound, "rb").read()
+    broken = {"cut": data[: len(data) // 2], "empty": b"", "flipped": data[:100] + bytes(range(256)) + data[356:]}
+    for name, content in broken.items():
+        (tmp_path / f"{name}.parquet").write_bytes(content)
+    paths = [f"{tmp_path}/{name}.parquet" for name in broken]
+    found = dict(lake.unreadable_files(spark, [*paths, sound]))
+    assert found == dict(zip(paths, ["footer", "footer", "data"]))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.unreadable_files(spark, [sound, f"{tmp_path}/gone.parquet"])
+    assert lake.corruption(OSError("no route to host")) is None
 
 
 def test_rebuild_needs_products(spark, tmp_path):
@@ -237,3 +252,16 @@ def test_one_hour_reads_one_directory_and_marts_prune(two_days, spark):
     day = marts.mart_sales(two_days.read("silver.sales_enriched"), ["2024-01-01"])
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sale_date_only" in plan
+
+
+def test_stock_reads_recent_alerts_only_and_ids_go_on(spark, sf, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.save_version("inventory", "20240101T000000", spark.createDataFrame([(1, 5, 9), (2, 5, 9)], "product_id long, stock_qty int, restock_threshold int"))
+    sold = [("a", 1, "2024-01-02 00:10:00"), ("b", 2, "2024-01-02 00:10:00"), ("c", 1, "2024-01-02 00:40:00"), ("d", 2, "2024-01-02 03:10:00")]
+    facts = spark.createDataFrame(sold, "sale_id string, product_id long, at string").selectExpr(
+        "sale_id", "product_id", "cast(at as timestamp_ntz) sale_date", "cast(at as date) sale_date_only", "'x' ingest")
+    wh.replace_run("silver.sales_enriched", "ingest", "x", facts)
+    for run_at, start in [("00:30", "00:00"), ("01:00", "00:30"), ("02:00", "01:00"), ("03:30", "02:30")]:
+        jobs.stock_hour(wh, f"2024-01-02 {run_at}:00", (datetime.fromisoformat(f"2024-01-02 {start}:00"), datetime.fromisoformat(f"2024-01-02 {run_at}:00")))
+    found = [(r.alert_id, r.product_id, str(r.alert_time)[11:16]) for r in wh.read("inventory_alerts").orderBy("alert_id").collect()]
+    assert found == [(1, 1, "00:30"), (2, 2, "00:30"), (3, 2, "03:30")]  # product 1 was still silent at 01:00
