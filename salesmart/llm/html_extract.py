@@ -56,7 +56,9 @@ _MARKED = frozenset(
     "notices sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments discussion replies respond share "
     "sharing social related recommended newsletter subscribe signup footer header masthead popup modal pagination pager "
     "toolbar widget complementary contentinfo search hidden disclaimer".split())
-#: Words that outweigh them: the article's own wrappers.
+#: Class names and ids of readers' comments, whatever else they say; states of a page are none.
+_READERS = re.compile(r"(?:comments?|commentlist|replies|respond)(?:[-_](?!open|closed|on$|off|enabled|disabled).*)?")
+#: Words that outweigh the marks outside the article: its own wrappers. Inside it only a box with most of the text may stay.
 _CONTENT = frozenset("article content post entry story body text main".split())
 _CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -66,23 +68,25 @@ _SCOPE = frozenset("html body table ul ol dl div section article main nav aside
 
 
 class Node:
-    __slots__ = ("tag", "label", "dropped", "kids", "size")
+    __slots__ = ("tag", "label", "dropped", "doubtful", "kids", "size")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.kids, self.size = tag, [], 1
         words: set[str] = set()
-        self.dropped = tag in _NEVER
+        self.dropped, self.doubtful, readers = tag in _NEVER, False, False
         label = tag
         if attributes.strip():
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
             names = found.get("class", "").split()
             label = ".".join([tag, *sorted(re.sub(r"\d+", "", n) for n in names)])
+            readers = any(_READERS.fullmatch(name.lower()) for name in (*names, found.get("id", "")))
             for value in (*names, found.get("id", ""), found.get("role", "")):
                 words.update(w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()) if w)
             style = found.get("style", "").replace(" ", "").lower()
             self.dropped |= "hidden" in found or "display:none" in style or found.get("aria-hidden") == "true"
-        if words & _MARKED and not words & _CONTENT and tag not in ("html", "body", "article", "main"):
-            self.dropped = True
+        if tag not in ("html", "body", "article", "main"):
+            self.dropped |= readers or bool(words & _MARKED and not words & _CONTENT)
+            self.doubtful = bool(words & _MARKED - {"header", "masthead", "banner"} and words & _CONTENT)
         self.label = label
 
 
@@ -131,28 +135,31 @@ def parse(page: str) -> Node:
 
 
 def own_text(node: Node) -> str:
-    """Text directly inside a node and its inline elements, as one block."""
+    """Text directly inside a node and its inline elements, as one block, without dropped ones."""
     parts: list[str] = []
 
     def walk(n: Node) -> None:
         for kid in n.kids:
             if isinstance(kid, str):
                 parts.append(kid)
-            elif kid.tag in _INLINE:
-                walk(kid)
-            else:
+            elif kid.tag not in _INLINE:
                 parts.append(" ")
+            elif not kid.dropped:
+                walk(kid)
 
     walk(node)
     return " ".join("".join(parts).split())
 
 
 def blocks_of(node: Node) -> list[Node]:
-    """Element children that are no inline elements, those inside inline elements included."""
+    """Element children that are no inline elements, those inside inline elements included, unless these are dropped."""
     found = []
     for kid in node.kids:
         if isinstance(kid, Node):
-            found.extend(blocks_of(kid) if kid.tag in _INLINE else [kid])
+            if kid.tag not in _INLINE:
+                found.append(kid)
+            elif not kid.dropped:
+                found.extend(blocks_of(kid))
     return found
 
 
@@ -164,7 +171,8 @@ class Slim:
     def __init__(self, node: Node, path: tuple[str, ...] = ()):
         self.node, self.label, self.text = node, node.label, own_text(node)
         self.path = (*path, node.label)
-        self.kids = [] if node.tag in _RAW else [Slim(kid, self.path) for kid in blocks_of(node)]
+        # What is inside a dropped element is never text; it may also be nested without bound.
+        self.kids = [] if node.dropped or node.tag in _RAW else [Slim(kid, self.path) for kid in blocks_of(node)]
 
 
 def match(a: Slim, b: Slim, pairs: list[tuple[Slim, Slim]]) -> int:
@@ -332,6 +340,13 @@ def read(page: str | None, wrapper: dict) -> str:
         if block and (label, block) not in lines:
             blocks.append(block)
 
+    sizes: dict[int, int] = {}
+
+    def whole(root: Node) -> int:
+        if id(root) not in sizes:
+            sizes[id(root)] = _own_size(root, set())
+        return sizes[id(root)]
+
     for root in roots:
         article = root.tag in ("article", "main")
         # Depth first without recursion: pages may be nested very deeply.
@@ -347,6 +362,7 @@ def read(page: str | None, wrapper: dict) -> str:
             elif isinstance(kid, str):
                 parts.append(kid)
             elif kid.dropped or (kid.tag == "header" and not article) or (
+                    kid.doubtful and root is not tree and 2 * _own_size(kid, set()) < whole(root)) or (
                     not article and kid.tag in ("ul", "ol", "div", "table") and _is_menu(kid)):
                 if kid.tag not in _INLINE:
                     flush(parts, node.label)

@@ -1,6 +1,7 @@
 import html
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.llm import html_extract as x
@@ -118,3 +119,32 @@ def test_lines_of_the_drawn_pages_alone_stay(spark, monkeypatch):
             for h in range(12) for i in range(30)]
     out = x.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all(r.text == f"Words of page {r.page_id % 100}" + " often repeated" * (r.page_id % 2) for r in out)
+
+
+@pytest.mark.parametrize("tag", ["form", "nav", "object", "div class=ad", "span class=ad", "div class=comment-list", "p", "b"])
+def test_deep_nesting_does_not_end_the_job(tag):
+    pages = [f"<body><div class=box><p>Words of page {i}, which differ</div>" + f"<{tag}>" * 3000 + f"hidden {i}" for i in range(4)]
+    wrapper = x.induce(pages)
+    assert x.read(pages[1], wrapper).startswith("Words of page 1, which differ")
+
+
+OUT = ["comment-content", "comment-body", "comments-main", "commentlist", "cookie-text", "sidebar-content", "footer-content",
+       "newsletter-body", "menu-main", "ad-content", "promo_text"]
+
+
+@pytest.mark.parametrize("name", OUT)
+@pytest.mark.parametrize("box", ["article", "div class=box"])
+def test_marked_boxes_inside_the_article_go(name, box):
+    def page(i):
+        return (f"<body><div class=top>Top of {i}</div><{box}><p>Words of page {i}, which differ<p>and go on for a good while, up to {i}"
+                f"<div class='{name}'>Said about {i}</div></{box.split()[0]}></body>")
+
+    pages = [page(i) for i in range(12)]
+    assert x.read(pages[3], x.induce(pages)) == "Words of page 3, which differ and go on for a good while, up to 3"
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "post comments-open", "main-content has-sidebar", "entry-content no-ads"])
+def test_boxes_that_hold_the_article_stay(name):
+    pages = [f"<body><div class='{name}'><p>Words of page {i}, which differ<p>and go on, up to {i}</div></body>" for i in range(12)]
+    want = "Words of page 3, which differ and go on, up to 3"
+    assert x.read(pages[3], x.induce(pages)) == want and x.read(pages[3], {}) == want
