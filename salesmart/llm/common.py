@@ -37,6 +37,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``materialize``, after which the driver looks for shuffles that nothing refers to any more.
+
+    Executors keep the files of a finished step's shuffles until the driver collects its garbage, which a driver with
+    little to do seldom does: a chain of large steps would keep them all.
+    """
+    result = materialize(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return result
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node it can reach.
 

@@ -22,9 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import components, small_batches, table
+from salesmart.llm.common import components, small_batches, table, written
 from salesmart.llm.near_dedup import shingles
-from salesmart.session import materialize
 
 PERCENT = 80
 #: Token orders, and the counters of each one's row of the count-min table: 3 MB in all, at any size of the corpus.
@@ -227,12 +226,12 @@ def _best(pairs: DataFrame) -> DataFrame:
 def _apart(members: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The index with each class's part, and the lists that hold several parts: the largest one, some class of it,
     its size and the number of all others."""
-    placed = materialize(members.join(parts, members.rep == parts.node, "left").select(
+    placed = written(members.join(parts, members.rep == parts.node, "left").select(
         "token", "rep", "n", "place", F.coalesce("component", "rep").alias("part")))
     sizes = placed.groupBy("token", "part").agg(
         F.count("*").alias("m"), F.min(F.col("rep").bitwiseXOR(F.col("token"))).alias("some"))
     lists = sizes.groupBy("token").agg(F.sum("m").alias("m"), F.max(F.struct("m", "part", "some")).alias("main"))
-    return placed, materialize(lists.where("m > main.m").select(
+    return placed, written(lists.where("m > main.m").select(
         "token", F.col("main.part").alias("main"), F.col("main.some").bitwiseXOR(F.col("token")).alias("leader"),
         F.col("main.m").alias("n_main"), (F.col("m") - F.col("main.m")).alias("n_rest")))
 
@@ -320,37 +319,37 @@ def similar_groups(docs: DataFrame, words_each: int = 5, percent: int = PERCENT)
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    sized = materialize(_sized(docs, words_each))
+    sized = written(_sized(docs, words_each))
     counts = spark.sparkContext.broadcast(_counts(sized))
     sized = sized.where("slice is null").select("doc", "n", "set_id")
-    reps = materialize(sized.where("doc is not null and set_id is not null").groupBy("set_id").agg(F.min("doc").alias("rep")))
+    reps = written(sized.where("doc is not null and set_id is not null").groupBy("set_id").agg(F.min("doc").alias("rep")))
     indexed = _indexed(docs, words_each, percent, counts).withColumnRenamed("doc", "rep")
     classes = indexed.join(reps, ["rep", "set_id"], "left_semi").dropDuplicates(["rep", "set_id"])
-    members = materialize(classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")))
+    members = written(classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")))
     # A list is of use when it holds two classes and one of them could be the smaller of a pair.
     lists = members.groupBy("token").agg(
         F.min("rep").alias("low"), F.max("rep").alias("high"),
         F.max((F.col("place") < _index(F.col("n"), percent)).cast("int")).alias("first")).where("low < high and first = 1")
-    members = materialize(members.join(lists.drop("first"), "token"))
+    members = written(members.join(lists.drop("first"), "token"))
     met = members.select("rep").distinct()
-    texts = materialize(_headed(
+    texts = written(_headed(
         docs.withColumnRenamed("doc", "rep").join(met, "rep", "left_semi"), words_each, percent, counts))
 
     ends = members.select(F.explode(F.array("low", "high")).alias("a"), F.col("rep").alias("b"))
-    links = materialize(_links(_best(ends), texts, words_each, percent))
-    parts = materialize(components(links))
+    links = written(_links(_best(ends), texts, words_each, percent))
+    parts = written(components(links))
     members = members.drop("low", "high")
     placed, lists = _apart(members, parts)
     leaders = placed.join(lists, "token").where("part <> main").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-    links = links.union(materialize(_links(_best(leaders), texts, words_each, percent)))
-    parts = materialize(components(links))
+    links = links.union(written(_links(_best(leaders), texts, words_each, percent)))
+    parts = written(components(links))
     placed, lists = _apart(members, parts)
-    rest = materialize(_links(_rest_pairs(placed, lists, percent), texts, words_each, percent))
+    rest = written(_links(_rest_pairs(placed, lists, percent), texts, words_each, percent))
     # Parts are the nodes of a second, smaller graph.
     name = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}"))
     between = rest.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
         F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
-    whole = materialize(components(between)).withColumnRenamed("component", "whole")
+    whole = written(components(between)).withColumnRenamed("component", "whole")
     groups = (
         reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
         .select("set_id", F.coalesce("component", "rep").alias("part"))
