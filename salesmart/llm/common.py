@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ def written(df: DataFrame) -> DataFrame:
     little to do seldom does: a chain of large steps would keep them all.
     """
     result = materialize(df)
+    gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return result
 
