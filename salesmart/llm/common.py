@@ -51,6 +51,14 @@ def written(df: DataFrame) -> DataFrame:
     return result
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame from ``written`` that nothing reads any more: all that came from it is written too."""
+    spark = frame.sparkSession
+    if files := frame.inputFiles():
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node it can reach.
 

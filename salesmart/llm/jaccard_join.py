@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import components, small_batches, table, written
+from salesmart.llm.common import components, discard, small_batches, table, written
 from salesmart.llm.near_dedup import shingles
 
 PERCENT = 80
@@ -325,14 +325,15 @@ def similar_groups(docs: DataFrame, words_each: int = 5, percent: int = PERCENT)
     reps = written(sized.where("doc is not null and set_id is not null").groupBy("set_id").agg(F.min("doc").alias("rep")))
     indexed = _indexed(docs, words_each, percent, counts).withColumnRenamed("doc", "rep")
     classes = indexed.join(reps, ["rep", "set_id"], "left_semi").dropDuplicates(["rep", "set_id"])
-    members = written(classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")))
+    index = written(classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")))
     # A list is of use when it holds two classes and one of them could be the smaller of a pair. Lists are written before
     # they meet their members, so that the shuffles of the two largest steps need not be kept at once.
-    lists = written(members.groupBy("token").agg(
+    lists = written(index.groupBy("token").agg(
         F.min("rep").alias("low"), F.max("rep").alias("high"),
         F.max((F.col("place") < _index(F.col("n"), percent)).cast("int")).alias("first")
     ).where("low < high and first = 1").drop("first"))
-    members = written(members.join(lists, "token"))
+    members = written(index.join(lists, "token"))
+    discard(index)
     met = members.select("rep").distinct()
     texts = written(_headed(
         docs.withColumnRenamed("doc", "rep").join(met, "rep", "left_semi"), words_each, percent, counts))
