@@ -67,6 +67,17 @@ def unbought_pairs(candidates: DataFrame, bought: DataFrame) -> DataFrame:
     return candidates.select(*pair).distinct().join(bought.select(*pair), pair, "left_anti")
 
 
+def unbought_counts(products: DataFrame, bought: DataFrame) -> DataFrame:
+    """(customer_id, unbought): how many of ``products`` (product_id) each customer has never bought.
+
+    The products left are all but those bought, so they are counted by subtraction and no pair is made for them. Products
+    bought that are not among ``products`` do not count.
+    """
+    known = products.select("product_id").where("product_id is not null").distinct()
+    pairs = bought.select("customer_id", "product_id").distinct().join(known.withColumn("listed", F.lit(1)), "product_id", "left")
+    return pairs.groupBy("customer_id").agg((F.lit(known.count()) - F.count("listed")).alias("unbought"))
+
+
 def product_names(sales: DataFrame, spend: DataFrame | None = None) -> DataFrame:
     """First name per product in order of customer, date and sale; NULL where that sale had no name.
 

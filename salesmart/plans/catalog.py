@@ -20,6 +20,7 @@ from salesmart.session import materialize, prepare, run_folder
 from salesmart.sources import lake, samples
 from salesmart.sources.commits import CommittedTable, MergedTable, SummedTable
 from salesmart.sources.external import send_stream
+from salesmart.sources.skipping import SkippingTable
 from salesmart.sources.warehouse import Warehouse
 from salesmart.streaming import flows, keyed, revenue
 
@@ -37,6 +38,7 @@ RULES_SUPPORT = "0.05"
 HISTORY_CUT = "2024-01-15 00:00:00"
 TREND_DAYS, TREND_AS_OF = ("2024-01-15", "2024-01-20"), "2024-02-10 18:00:00"  # the card begins inside a day
 CF_CUSTOMER = 1
+SEARCHED_PRODUCT, SEARCHED_DAYS = 7, ("2024-01-10", "2024-01-12")  # and the unknown product on these days
 ITEM_IDS = [-1, *range(100)]  # the sample's product ids: the unknown one and 0 … 99
 
 _QUERIES: dict[str, Query] = {}
@@ -141,6 +143,17 @@ def silver_history(spark, sf_dir):
     return reduce(DataFrame.unionByName, states)
 
 
+@query
+def sales_of_product(spark, sf_dir):
+    """All sales of one product, and of a frequent one on some days, found by the index of a clustered table of two runs."""
+    sales = samples.sales_enriched(spark, sf_dir).select("sale_id", "customer_id", "store_id", "product_id", "amount", "sale_date")
+    facts = SkippingTable(spark, f"{_sink(spark)}/facts", sales.schema, ["product_id", "sale_date", "product_id", "customer_id"])
+    facts.replace_run("early", sales.where(F.col("sale_date") < at(HISTORY_CUT)))
+    facts.replace_run("late", sales.where(F.col("sale_date") >= at(HISTORY_CUT)))
+    days = tuple(f"{day} 00:00:00" for day in SEARCHED_DAYS)
+    return facts.search({"product_id": SEARCHED_PRODUCT}).unionByName(facts.search({"product_id": -1}, {"sale_date": days}))
+
+
 @query
 def fast_track_filter(spark, sf_dir):
     return fast_track.fast_track_filter(samples.raw_sales(spark, sf_dir)).select(
@@ -397,6 +410,12 @@ def unbought_pairs(spark, sf_dir):
     return recommend.unbought_pairs(sales, sales.where(F.col("event_type") == "purchase"))
 
 
+@query
+def unbought_counts(spark, sf_dir):
+    """For every customer, how many products of the catalogue they have never bought."""
+    return recommend.unbought_counts(samples.products(spark, sf_dir), samples.sales_enriched(spark, sf_dir))
+
+
 @query
 def spend_top5_per_customer(spark, sf_dir):
     return recommend.top_per_customer(recommend.user_item_spend(samples.sales_enriched(spark, sf_dir)), score="spend")

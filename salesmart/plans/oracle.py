@@ -13,6 +13,8 @@ from salesmart.plans.catalog import (
     EDGE_AS_OF,
     EDGE_PREVIOUS,
     HISTORY_CUT,
+    SEARCHED_DAYS,
+    SEARCHED_PRODUCT,
     ITEM_IDS,
     RFM_AS_OF,
     RFM_PREVIOUS,
@@ -285,6 +287,10 @@ _SQL = {
         WHERE CASE "hour" WHEN 1 THEN early WHEN 2 THEN TRUE WHEN 3 THEN NOT early OR event_type = 'purchase'
               WHEN 4 THEN amount > 100 AND (NOT early OR event_type = 'purchase')
               ELSE CASE WHEN early THEN amount > 100 AND event_type = 'purchase' ELSE event_type <> 'error' END END""",
+    "sales_of_product": f"""
+        SELECT sale_id, customer_id, store_id, product_id, amount, sale_date FROM sales_enriched
+        WHERE product_id = {SEARCHED_PRODUCT} OR product_id = -1 AND sale_date
+              BETWEEN TIMESTAMP '{SEARCHED_DAYS[0]}' AND TIMESTAMP '{SEARCHED_DAYS[1]}'""",
     "fast_track_filter": """
         SELECT sale_id, customer_id, store_id, product_id, amount, sale_date, arrival_seq
         FROM raw_sales WHERE amount > 400""",
@@ -403,6 +409,9 @@ _SQL = {
     "unbought_pairs": """
         SELECT customer_id, product_id FROM sales_enriched
         EXCEPT SELECT customer_id, product_id FROM sales_enriched WHERE event_type = 'purchase'""",
+    "unbought_counts": """
+        SELECT customer_id, (SELECT COUNT(*) FROM products) - COUNT(DISTINCT p.product_id) AS unbought
+        FROM sales_enriched s LEFT JOIN products p ON p.product_id = s.product_id GROUP BY customer_id""",
     "spend_top5_per_customer": 'SELECT customer_id, product_id, spend, "rank" FROM top5',
     "spend_gram": """
         SELECT i AS product_a, j AS product_b, CAST(ROUND(x, 4) AS DECIMAL(24,4)) AS total FROM spend_gram WHERE i <= j""",

@@ -115,23 +115,28 @@ class CommittedTable:
         name = f"{order}{uuid.uuid4().hex}"
         frame = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
                             else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields))
-        writer = (frame.hint("rebalance", *self.within) if self.within else frame).write
-        (writer.partitionBy(*self.within) if self.within else writer).parquet(f"{self.path}/data/part_of={name}")
+        self._write(frame, name)
         segment = {"name": name, "run": run, "struck": []}
         return {**segment, "rows": self._scan([segment]).count()}
 
+    def _write(self, frame: DataFrame, name: str) -> None:
+        writer = (frame.hint("rebalance", *self.within) if self.within else frame).write
+        (writer.partitionBy(*self.within) if self.within else writer).parquet(f"{self.path}/data/part_of={name}")
+
     def _struck(self, segments: Sequence[dict], name: str) -> str:
         """SQL that is true for rows of replaced runs."""
         quoted = lambda texts: ", ".join("'" + t.replace("'", "''") + "'" for t in texts)
         return " OR ".join(f"({name} = {quoted([s['name']])} AND {self.run_column} IN ({quoted(s['struck'])}))" for s in segments if s["struck"])
 
-    def _scan(self, segments: Sequence[dict]) -> DataFrame:
-        if not segments:
+    def _scan(self, segments: Sequence[dict], paths: Sequence[str] | None = None) -> DataFrame:
+        """The rows of ``segments``, or only those below ``paths`` of their files."""
+        paths = [f"part_of={s['name']}" for s in segments] if paths is None else paths
+        if not paths:
             empty = self.spark.createDataFrame([], self.schema)
             return empty.withColumn("part_of", F.lit(None).cast("string"))
         fields = [f for f in self.schema.fields]
         reader = self.spark.read.schema(T.StructType([*fields, T.StructField("part_of", T.StringType())]))
-        rows = reader.option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/part_of={s['name']}" for s in segments])
+        rows = reader.option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/{p}" for p in paths])
         struck = self._struck(segments, "part_of")
         return rows.where(f"NOT coalesce({struck}, false)") if struck else rows
 
