@@ -1,6 +1,6 @@
 """Secret scans: fixed formats, and a battery of randomness tests for tokens of any other format, in SQL functions only.
 
-A token of mixed characters is taken for text in the smallest encoding that allows it. Three tests ask whether it could
+A token is taken for text in the smallest encoding that allows it. Three tests ask whether it could
 be a uniform draw from that alphabet: chi-squared counts, runs of low and high characters, and the correlation of
 neighbours. Their sum gives a p-value. Random tokens spread evenly over p, made-up names crowd near 0, so for each
 encoding and length the corpus itself shows which level keeps the share of false discoveries below RATE. Copies of a
@@ -27,6 +27,9 @@ FEW = 100
 #: Encodings from the smallest alphabet: name, pattern of a whole token, characters in order.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = [
+    ("digits", "[0-9]+", _DIGITS),
+    ("lower26", "[a-z]+", _LOWER),
+    ("upper26", "[A-Z]+", _UPPER),
     ("hex", "[0-9a-f]+|[0-9A-F]+", None),
     ("base32", "[A-Z2-7]+", _UPPER + "234567"),
     ("lower36", "[a-z0-9]+", _DIGITS + _LOWER),
@@ -77,15 +80,14 @@ def _erfc(x: Column) -> Column:
 
 
 def battery(frame: DataFrame) -> DataFrame:
-    """``frame`` (token) with ``encoding`` and ``p``: null for tokens of one kind of character, which are not tested."""
+    """``frame`` (token) with ``encoding`` and ``p``; both are null where the token is."""
     body = F.regexp_replace("token", "=+$", "")
     encoding, alphabet = F, F
     for name, pattern, chars in ENCODINGS:
         fits = F.col("body").rlike(f"^(?:{pattern})$")
         chars = F.lit(chars) if chars else F.when(F.col("body").rlike("[A-F]"), _DIGITS + "ABCDEF").otherwise(_DIGITS + "abcdef")
         encoding, alphabet = encoding.when(fits, name), alphabet.when(fits, chars)
-    kinds = sum((F.col("body").rlike(c).cast("int") for c in ("[0-9]", "[a-z]", "[A-Z]")), F.lit(0))
-    ready = frame.withColumn("body", body).withColumn("encoding", F.when(kinds >= 2, encoding)).withColumn(
+    ready = frame.withColumn("body", body).withColumn("encoding", encoding).withColumn(
         "alphabet", F.when(F.col("encoding").isNotNull(), alphabet))
     places = F.transform(F.regexp_extract_all("body", F.lit("."), F.lit(0)), lambda c: F.instr(F.col("alphabet"), c) - 1)
     ready = ready.withColumn("x", F.when(F.col("encoding").isNotNull(), places)).withColumn(
@@ -115,9 +117,12 @@ def battery(frame: DataFrame) -> DataFrame:
 
 
 def _level(over: list[float]) -> float | None:
-    """The lowest of LEVELS whose discoveries are estimated to hold at most RATE false ones, from the tokens over each."""
+    """The lowest of LEVELS whose discoveries are estimated to hold at most RATE false ones, from the tokens over each.
+
+    One is added to the tokens over one half: so a lone token needs no other to speak for it, and a few made-up names
+    over a level are not taken for random ones, as no more than two go by that one."""
     for a, n in zip(LEVELS, over):
-        if n > 0 and 1 - 2 * (1 - a) * over[-1] / n <= RATE:
+        if n > 0 and 1 - 2 * (1 - a) * (over[-1] + 1) / n <= RATE:
             return a
     return None
 
@@ -126,7 +131,7 @@ def pooled(counts: dict[tuple[str, int], list[float]]) -> dict[tuple[str, int],
     """A level for each (encoding, bin) of ``counts``, the distinct tokens over each of LEVELS.
 
     A bin of fewer than FEW tokens over the lowest level borrows from the nearest bins of its encoding until there are so
-    many. Where the whole encoding has fewer, nothing speaks against its tokens: the missing ones count as random.
+    many, or no more.
     """
     found = {}
     for encoding, own in counts:
@@ -136,8 +141,7 @@ def pooled(counts: dict[tuple[str, int], list[float]]) -> dict[tuple[str, int],
             if over[0] >= FEW:
                 break
             over = [x + y for x, y in zip(over, counts[encoding, b])]
-        missing = max(0.0, FEW - over[0])
-        if (level := _level([x + missing * (1 - a) for x, a in zip(over, LEVELS)])) is not None:
+        if (level := _level(over)) is not None:
             found[encoding, own] = level
     return found
 
@@ -177,9 +181,14 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     limits = F.broadcast(levels(spans.where("kind = 3")))  # at most one row for each encoding and length bin
     kept = spans.join(limits, ["encoding", "bin"], "left").where(
         "valid and (kind < 3 or p >= level)")
+    # Where the fixed spans that begin no later end, and where the next one begins: one pass each way.
+    fixed = lambda c: F.when(F.col("kind") < 3, F.col(c))
+    by_row = Window.partitionBy("row")
+    kept = kept.withColumn("busy", F.max(fixed("end")).over(by_row.orderBy("start"))).withColumn(
+        "next", F.min(fixed("start")).over(by_row.orderBy(F.desc("start")))).where(
+        "kind < 3 or (coalesce(busy <= start, true) and coalesce(next >= end, true))")
     lists = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < 3)
-    free = F.filter("all", lambda s: (s["kind"] < 3) | ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     names = F.array(*map(F.lit, KINDS))
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -189,7 +198,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
         tested.select("row", "doc_id").distinct().join(lists, "row", "left")
         .withColumn("all", F.coalesce("all", empty)).withColumn("base", base)
         .select("doc_id", *(number(i).alias(f"n_{KINDS[i]}") for i in range(3)),
-                F.sha2(joined("base"), 256).alias("base_sha256"), joined(free).alias("spans"))
+                F.sha2(joined("base"), 256).alias("base_sha256"), joined("all").alias("spans"))
     )
 
 

@@ -103,3 +103,56 @@ def test_a_lone_token_is_found(spark):
     assert spans_of(spark, [lone]) == ["random:4:64"]
     rare = next(t for t, p in drawn(spark, rng, 100, 24) if 0.15 < p < 0.45)
     assert spans_of(spark, [t for t, _ in drawn(spark, rng, 300)] + [rare])[-1] == "random:4:28"
+
+
+def test_few_made_up_names_are_no_secrets():
+    # Nine names with p just over 0.01 and nothing else; a lone token with any p; two that are as likely as not.
+    nine = [9.0 * (a <= 0.01) for a in secrets.LEVELS]
+    assert secrets.pooled({("base62", 20): nine}) == {}
+    assert secrets.pooled({("base62", 20): [1.0 * (a <= 0.3) for a in secrets.LEVELS]}) == {("base62", 20): 0.01}
+    # They do not speak against other encodings, but against their neighbours' bins.
+    found = secrets.pooled({("base62", 20): nine, ("hex", 20): [1.0] * 8, ("base62", 30): [1.0] * 8})
+    assert found["hex", 20] == 0.01 and found["base62", 30] == 0.02
+
+
+def test_tokens_of_one_kind_are_tested(spark):
+    rng = random.Random(21)
+    kinds = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    tokens = ["".join(rng.choice(k) for _ in range(36)) for k in kinds for _ in range(150)]
+    words = ["internationalisation", "configuration", "responsibilities", "without", "different", "measurement"]
+    made_up = ["".join(rng.sample(words, 3)) for _ in range(60)] + ["7" * 20, "-" * 40, "a/b/" * 9]
+    out = spans_of(spark, tokens + made_up)
+    for i in range(3):
+        assert sum(map(bool, out[150 * i:150 * (i + 1)])) > 120
+    # Words pass by the share of false discoveries that RATE allows, give or take what 150 random tokens tell of it.
+    false, lower = sum(map(bool, out[450:510])), sum(map(bool, out[150:300]))
+    assert false <= 1.5 * secrets.RATE * (false + lower)
+    assert not any(out[510:])
+
+
+def test_random_spans_overlap_no_fixed_ones(spark):
+    rng = random.Random(22)
+    alphabet = "ABCDEFGHJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    word = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    parts = [lambda: "token=" + word(24), lambda: word(40), lambda: "AKIA" + "".join(rng.choice(kinds) for _ in range(16)),
+             lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)), lambda: "words"]
+    kinds = "ABCDEFGHIJ0123456789"
+    rows = [(i, rng.choice([" ", "-", "_"]).join(rng.choice(parts)() for _ in range(rng.randrange(30)))) for i in range(60)]
+    rows.append((60, " ".join(f"{word(30)} token={word(30)}" for _ in range(15_000))))  # 15,000 spans of each kind
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    free = 0
+    for row in secrets.secret_spans(docs).collect():
+        spans = [(int(a), int(b), k) for k, a, b in (s.split(":") for s in row.spans.split(",") if s)]
+        base = brute(rows[row.doc_id][1])
+        assert [(a, secrets.KINDS.index(k), b) for a, b, k in spans if k != "random"] == base
+        ends = 0
+        for a, b, k in sorted(spans):
+            assert a >= ends or k != "random"
+            ends = max(ends, b)
+        for a, b, k in spans if row.doc_id < 60 else ():
+            if k == "random":
+                free += 1
+                assert not any(s < b and a < e for s, _, e in base)
+        if row.doc_id == 60:
+            assert sum(k == "random" for *_, k in spans) > 12_000
+    assert free > 50
