@@ -18,10 +18,8 @@ RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 ]
-#: The trees are fitted on at most about so many judged URLs, drawn by a hash of the URL.
+#: The trees are fitted on at most about so many distinct judged URLs, drawn by a hash of the URL and weighted by their rows.
 SAMPLE = 20_000
-#: Host suffixes with statistics: those of at least one in so many judged URLs, so at most so many for each length.
-SUFFIXES = 1000
 
 FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "entropy", "parameters",
             "query_length", "marks", "longest_word", "fragment", "secure", "suffix1", "suffix2"]
@@ -54,39 +52,40 @@ def _suffix(n: int) -> Column:
     return F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n))
 
 
-def suffix_statistics(judged: DataFrame) -> dict[str, dict[str, float]]:
-    """For the last label and the last two: the share of blocked URLs, drawn towards the share among all."""
-    total, blocked = judged.agg(F.count("*"), F.sum("label")).first()
-    share = (blocked or 0.0) / max(total, 1)
+def suffix_statistics(judged: DataFrame) -> tuple[dict[int, DataFrame], float]:
+    """For the last label and the last two: (suffix, known), the share of blocked ones among the URLs with each suffix, drawn
+    towards the share among all, which is returned beside. ``judged`` holds distinct URLs and how many rows each has; every
+    suffix has its row, so the tables are joined by measured size."""
+    total, blocked = judged.agg(F.sum("weight"), F.sum(F.col("label") * F.col("weight"))).first()
+    share = (blocked or 0.0) / max(total or 0, 1)
     found = {}
     for n in (1, 2):
-        rows = (judged.groupBy(_suffix(n).alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("b"))
-                .where(F.col("n") * SUFFIXES >= total).collect())
-        found[f"suffix{n}"] = {r["suffix"]: (r["b"] + 10 * share) / (r["n"] + 10) for r in rows} | {"": share}
-    return found
+        known = (F.sum(F.col("label") * F.col("weight")) + 10 * share) / (F.sum("weight") + 10)
+        found[n] = materialize(judged.groupBy(_suffix(n).alias(f"_suffix{n}")).agg(known.alias(f"_known{n}")))
+    return found, share
 
 
-def with_features(pages: DataFrame, statistics: dict[str, dict[str, float]]) -> DataFrame:
+def with_features(pages: DataFrame, statistics: tuple[dict[int, DataFrame], float]) -> DataFrame:
     """``pages`` (url, host, path) with the columns of FEATURES, prefixed by ``f_``."""
     url = F.coalesce("url", F.lit(""))
-    n = F.greatest(F.length(url), F.lit(1)).cast("double")
+    size = F.greatest(F.length(url), F.lit(1)).cast("double")
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     count = lambda pattern: F.length(url) - F.length(F.regexp_replace(url, pattern, ""))
-    share = lambda c: (n - F.length(F.replace(url, c, F.lit("")))) / n
+    share = lambda c: (size - F.length(F.replace(url, c, F.lit("")))) / size
     entropy = F.aggregate(
         F.transform(F.array_distinct(F.regexp_extract_all(url, F.lit("(?s)."), F.lit(0))),
                     lambda c: -share(c) * F.log2(share(c))), F.lit(0.0), lambda a, b: a + b)
     words = F.transform(F.split(url, "[^A-Za-z0-9]+"), lambda w: F.length(w))
 
-    def statistic(n: int) -> Column:
-        table = statistics[f"suffix{n}"]
-        pairs = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
-        return F.coalesce(F.element_at(pairs, _suffix(n)), F.lit(table[""]))
+    known, share_of_all = statistics
+    for n in known:
+        pages = pages.withColumn(f"_suffix{n}", _suffix(n)).join(known[n], f"_suffix{n}", "left")
+    statistic = lambda n: F.coalesce(f"_known{n}", F.lit(share_of_all))
 
     values = {
         "length": F.length(url), "host_length": F.length("host"), "path_length": F.length("path"),
         "depth": F.size(F.filter(F.split("path", "/"), lambda x: x != "")), "labels": F.size(F.split("host", r"\.")),
-        "digit_ratio": count("[0-9]") / n, "entropy": entropy,
+        "digit_ratio": count("[0-9]") / size, "entropy": entropy,
         "parameters": F.size(F.filter(F.split(query, "&"), lambda x: x != "")), "query_length": F.length(query),
         "marks": count(r"[-_.%~+]"), "longest_word": F.array_max(words), "fragment": F.contains(url, F.lit("#")).cast("int"),
         "secure": F.startswith(url, F.lit("https")).cast("int"), "suffix1": statistic(1), "suffix2": statistic(2),
@@ -98,13 +97,14 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[f"f_{name}" for name in FEATURES], outputCol="_features")
 
 
-def train(pages: DataFrame, sample: int = SAMPLE) -> tuple[dict, GBTClassificationModel | str]:
-    """Suffix statistics of all URLs that a rule judges, and trees fitted on at most about ``sample`` of them; where the
-    rules only give one verdict, that verdict, and ``allow`` where they give none."""
-    judged = pages.where("rule_verdict is not null").select(
-        "url", "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("label"))
+def train(pages: DataFrame, sample: int = SAMPLE) -> tuple[tuple, GBTClassificationModel | str]:
+    """Suffix statistics of all URLs that a rule judges, and trees fitted on at most about ``sample`` distinct ones, each
+    weighted by its rows; where the rules only give one verdict, that verdict, and ``allow`` where they give none."""
+    judged = materialize(pages.where("rule_verdict is not null").groupBy(
+        "url", "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("label")
+    ).agg(F.count("*").cast("double").alias("weight")))
     statistics = suffix_statistics(judged)
-    sizes = {r["label"]: r["count"] for r in judged.groupBy("label").count().collect()}
+    sizes = {r["label"]: r["n"] for r in judged.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return statistics, "block" if 1.0 in sizes else "allow"
     share = min(1.0, sample / sum(sizes.values()))
@@ -112,9 +112,9 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> tuple[dict, GBTClassificati
     ready = materialize(with_features(drawn, statistics))
     if ready.select("label").distinct().count() < 2:
         return statistics, "block" if sizes[1.0] > sizes[0.0] else "allow"
-    trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=15, maxDepth=4, stepSize=0.3,
+    trees = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="weight", maxIter=15, maxDepth=4, stepSize=0.3,
                           subsamplingRate=0.8, seed=11)
-    return statistics, trees.fit(_assembler().transform(ready.coalesce(4)).select("_features", "label"))
+    return statistics, trees.fit(_assembler().transform(ready.coalesce(4)).select("_features", "label", "weight"))
 
 
 def judge(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:

@@ -39,6 +39,31 @@ def test_learns_from_judged_urls(spark):
     assert right > 0.95 * len(out)
 
 
+def test_a_hot_url_is_one_row_of_the_sample(spark, monkeypatch):
+    # A URL with most rows: the trees get distinct URLs, within the bound, and its rows as a weight.
+    rows = [(i, f"http://s{i % 7}.example.{'net' if i % 2 else 'org'}/a/{i}") for i in range(3000)]
+    rows += [(10_000 + i, "http://s1.example.net/hot") for i in range(6000)]
+    rules = [("allow", "example.org", "/"), ("block", "example.net", "/")]
+    fitted, fit = [], urls.GBTClassifier.fit
+    monkeypatch.setattr(urls.GBTClassifier, "fit", lambda self, df: fitted.append((df.count(), df.agg(F.max("weight")).first()[0])) or fit(self, df))
+    statistics, _ = urls.train(urls.with_rule(spark.createDataFrame(rows, "page_id long, url string"), rules), sample=4000)
+    assert fitted == [(3001, 6000.0)]
+    urls.train(urls.with_rule(spark.createDataFrame(rows, "page_id long, url string"), rules), sample=300)
+    assert 200 < fitted[1][0] < 400
+    known, share = statistics
+    assert share == 7500 / 9000
+    counts = {r[0]: r[1] for r in known[1].collect()}
+    assert counts["net"] == (7500 + 10 * share) / 7510 and counts["org"] == 10 * share / 1510
+
+
+def test_rare_suffixes_have_statistics(spark):
+    rows = [(i, f"http://h{i}.org/") for i in range(3000)] + [(5000, "http://spam.rare/")]
+    judged = urls.with_rule(spark.createDataFrame(rows, "page_id long, url string"), [("allow", "org", "/"), ("block", "rare", "/")])
+    known, share = urls.train(judged)[0]
+    assert known[2].count() == 3001
+    assert known[1].where("_suffix1 = 'rare'").first()["_known1"] == (1 + 10 * share) / 11
+
+
 def test_empty_and_one_sided(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert urls.judge(empty).count() == 0
