@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from salesmart.session import materialize
 from salesmart.sources.commits import CommittedTable
 
-#: Rows of a file, and the most files that one segment's write is planned for; larger ones cut a task at ``FILE_ROWS`` again and again.
+#: Rows of a file, and the most tasks that write one segment; beyond that a task writes several files.
 FILE_ROWS, MOST_TASKS = 1_000_000, 20_000
 #: Bits of a column's rank: its place among 255 quantiles.
 RANK_BITS = 8
