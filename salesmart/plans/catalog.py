@@ -593,8 +593,9 @@ def stream_sales_once(spark, sf_dir):
 def _arriving(spark, frame: DataFrame, order: str, parts: int, column) -> DataFrame:
     """``frame`` as a stream of ``parts`` batches, cut by ``column`` (0 to parts - 1), each written in ``order``."""
     folder = f"{_sink(spark)}/arriving"
+    dealt = materialize(frame.withColumn("_part", column))
     for part in range(parts):
-        frame.where(column == part).repartition(1).sortWithinPartitions(order).write.mode("append").parquet(folder)
+        dealt.where(F.col("_part") == part).drop("_part").repartition(1).sortWithinPartitions(order).write.mode("append").parquet(folder)
     return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 

@@ -1,18 +1,18 @@
 """Keyed state across batches: the first arrival of every sale, and stock with its alerts.
 
-State belongs to one sale or one product and is touched only when that key has rows or a timer, so a batch costs its own
-keys. Rows are reduced before they are sent to their key: a sale that fills a third of a batch sends one row for each
-Arrow batch, a product one row for each closed interval.
+Sales and products are dealt over buckets by a hash: a call to Python serves all sales or products of a bucket, and only
+buckets that have rows are touched. Rows are reduced before they are sent to their bucket: a sale that fills a third of a
+batch sends one row for each Arrow batch, a product one row for each closed interval.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import timedelta
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,48 +20,38 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from salesmart.operators import quality
 
 HOUR = timedelta(hours=1)
+#: Buckets of sales and of products; the rows of one micro-batch in a bucket are held by one call.
+BUCKETS = 512
 
 
-def _millis(moment: pd.Timestamp) -> int:
-    return int(moment.value // 1_000_000)
+def _bucket(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
-# --- first arrival -------------------------------------------------------------------------------------------
+def _packed(rows: Iterable[tuple], schema: pa.Schema) -> tuple[bytes]:
+    """Rows as one value of state: a value for each sale or product would cost a call to the JVM each."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return (pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema).serialize().to_pybytes(),)
 
 
-class FirstArrival(StatefulProcessor):
-    """Emits the first row of a sale in arrival order and remembers the sale until the lateness has passed."""
+def _unpacked(value: tuple, schema: pa.Schema) -> list[tuple]:
+    part = pa.ipc.read_record_batch(pa.py_buffer(bytes(value[0])), schema)
+    return list(zip(*(column.to_pylist() for column in part.columns)))
 
-    def __init__(self, arrival: Sequence[str], lateness: timedelta) -> None:
-        self.arrival, self.lateness = list(arrival), lateness
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "known boolean")
+# --- first arrival -------------------------------------------------------------------------------------------
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows), ignore_index=True)  # at most one row for each Arrow batch of the micro-batch
-        if self.seen.exists():
-            return
-        first = found.sort_values(self.arrival, kind="stable").iloc[:1]
-        self.seen.update((True,))
-        self.handle.registerTimer(_millis(first["event_time"].iloc[0] + self.lateness))
-        yield first
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
 
-    def close(self) -> None:
-        pass
+def _thinned(rows: pa.RecordBatch | pa.Table, arrival: Sequence[str]) -> pa.RecordBatch | pa.Table:
+    order = pd.DataFrame({c: rows.column(c).to_pandas() for c in ("sale_id", *arrival)})
+    order = order.sort_values(list(arrival), kind="stable").drop_duplicates("sale_id")
+    return rows.take(pa.array(sorted(order.index)))
 
 
 def _firsts(arrival: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            order = pd.DataFrame({c: batch.column(c).to_pandas() for c in ("sale_id", *arrival)})
-            order = order.sort_values(list(arrival), kind="stable").drop_duplicates("sale_id")
-            yield batch.take(pa.array(sorted(order.index)))
+            yield _thinned(batch, arrival)
 
     return thin
 
@@ -72,14 +62,18 @@ def first_sales(stream: DataFrame, arrival: Sequence[str] = quality.FILE_ORDER,
 
     Repeats are known while they come within ``lateness`` of the first. A row whose sale time is behind the watermark by
     more than that is late and dropped, whatever its id. A missing sale time counts as 1970 and is always late.
+
+    Of a batch one row for each sale is left, its first, in buckets of sales; what was seen in earlier batches is Spark's own
+    keyed state, so no call to Python is made for a single sale. The watermark follows the rows that are left.
     """
     complete = quality.drop_incomplete(stream)
-    thinned = complete.mapInArrow(_firsts(arrival), complete.schema)
-    timed = thinned.withColumn("event_time", F.coalesce(F.col("sale_date").cast("timestamp"), F.timestamp_seconds(F.lit(0))))
+    timed = complete.withColumn("event_time", F.col("sale_date").cast("timestamp")).where(
+        F.col("event_time") > F.timestamp_seconds(F.lit(0)))  # the watermark is never before 1970
+    dealt = timed.mapInArrow(_firsts(arrival), timed.schema).withColumn("bucket", _bucket("sale_id"))
+    firsts = dealt.groupBy("bucket").applyInArrow(lambda rows: _thinned(rows, arrival), dealt.schema)
     seconds = int(lateness.total_seconds())
-    firsts = timed.withWatermark("event_time", f"{seconds} seconds").groupBy("sale_id").transformWithStateInPandas(
-        statefulProcessor=FirstArrival(arrival, lateness), outputStructType=timed.schema, outputMode="Append", timeMode="EventTime")
-    return quality.keep_positive(firsts).drop("event_time")
+    new = firsts.withWatermark("event_time", f"{seconds} seconds").dropDuplicatesWithinWatermark(["sale_id"])
+    return quality.keep_positive(new).drop("event_time", "bucket")
 
 
 # --- stock ---------------------------------------------------------------------------------------------------
@@ -90,34 +84,46 @@ STOCK_CHANGES = T.StructType([
 ])
 
 
+LEVELS = pa.schema([("product_id", pa.int64()), ("stock_qty", pa.int64()), ("threshold", pa.int64()),
+                    ("last_alert", pa.timestamp("us")), ("alerts", pa.int64())])
+
+
 class StockLevel(StatefulProcessor):
-    """Stock of one product, when it last raised an alert, and how many it has raised."""
+    """Stock of each product of a bucket, when it last raised an alert, and how many it has raised."""
 
     def __init__(self, silence: timedelta) -> None:
         self.silence = silence
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.level = handle.getValueState("level", "stock_qty long, threshold long, last_alert timestamp, alerts long")
+        self.levels = handle.getValueState("levels", "levels binary")
+
+    def _levels(self) -> dict[int, tuple]:
+        return {level[0]: level for level in _unpacked(self.levels.get(), LEVELS)} if self.levels.exists() else {}
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.level.update((int(row["stock_qty"]), int(row["restock_threshold"]), None, 0))
+        levels = self._levels()
+        for row in initialState.itertuples():
+            levels.setdefault(int(row.product_id), (int(row.product_id), int(row.stock_qty), int(row.restock_threshold), None, 0))
+        self.levels.update(_packed(levels.values(), LEVELS))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if not self.level.exists():
-            return  # a product without stock has no level to keep
-        stock, threshold, last, alerts = self.level.get()
-        out = []
+        levels, out = self._levels(), []
         for row in pd.concat(list(rows), ignore_index=True).sort_values("at").itertuples():
+            product = int(row.product_id)
+            if product not in levels:
+                continue  # a product without stock has no level to keep
+            _, stock, threshold, last, alerts = levels[product]
             stock = max(stock - int(row.sold_qty), 0)
             number = None
-            if stock <= threshold and (last is None or pd.Timestamp(last) <= row.at - self.silence):
-                last, alerts = row.at, alerts + 1
+            if stock <= threshold and (last is None or last <= row.at - self.silence):
+                last, alerts = row.at.to_pydatetime(), alerts + 1
                 number = alerts
-            out.append((key[0], row.at, int(row.sold_qty), stock, threshold, number))
-        self.level.update((stock, threshold, None if last is None else pd.Timestamp(last).to_pydatetime(), alerts))
-        frame = pd.DataFrame(out, columns=STOCK_CHANGES.fieldNames())
-        yield frame.astype({"alert_no": "Int64"})
+            levels[product] = product, stock, threshold, last, alerts
+            out.append((product, row.at, int(row.sold_qty), stock, threshold, number))
+        if out:
+            self.levels.update(_packed(levels.values(), LEVELS))
+            frame = pd.DataFrame(out, columns=STOCK_CHANGES.fieldNames())
+            yield frame.astype({"alert_no": "Int64"})
 
     def close(self) -> None:
         pass
@@ -135,12 +141,13 @@ def stock_changes(stream: DataFrame, inventory: DataFrame, every: str = "1 hour"
     timed = stream.where("product_id is not null").withColumn("event_time", F.col("sale_date").cast("timestamp"))
     sold = timed.withWatermark("event_time", lateness).groupBy("product_id", F.window("event_time", every)).agg(
         F.count(F.lit(1)).alias("sold_qty"))
-    closed = sold.select("product_id", F.col("window.end").alias("at"), "sold_qty", F.window_time("window").alias("event_time"))
-    start = inventory.where("stock_qty is not null and restock_threshold is not null").select(
-        "product_id", F.col("stock_qty").cast("long"), F.col("restock_threshold").cast("long"))
-    return closed.groupBy("product_id").transformWithStateInPandas(
+    number = F.col("product_id").cast("long").alias("product_id")
+    closed = sold.select(number, F.col("window.end").alias("at"), "sold_qty", F.window_time("window").alias("event_time"))
+    start = inventory.where("product_id is not null and stock_qty is not null and restock_threshold is not null").select(
+        number, F.col("stock_qty").cast("long"), F.col("restock_threshold").cast("long"))
+    return closed.select("*", _bucket("product_id")).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=StockLevel(silence), outputStructType=STOCK_CHANGES, outputMode="Append", timeMode="EventTime",
-        initialState=start.groupBy("product_id"))
+        initialState=start.select("*", _bucket("product_id")).groupBy("bucket"))
 
 
 def alerts_of(changes: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import glob
 import os
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pyarrow as pa
 import pytest
@@ -67,6 +68,34 @@ def test_a_hot_sale_sends_one_row_a_batch():
     assert out[0].to_pylist() == [{"sale_id": "a", "seq": 1}, {"sale_id": "b", "seq": 5}]
 
 
+def drained_states(stream, path):
+    query = external.send_stream(stream, f"{path}/cp", sink="parquet", path=f"{path}/out")
+    query.awaitTermination()
+    return [state for progress in query.recentProgress for state in progress.stateOperators]
+
+
+def test_sales_are_not_calls_of_their_own(spark, tmp_path):
+    schema = StructType([*RAW_SALES.fields, StructField("seq", LongType())])
+    stream = batches(spark, str(tmp_path / "in"), schema, [sale(i % 700, i, Decimal(i + 1)) for i in range(1400)], [sale(1, 9000, Decimal(1))])
+    stream = stream.repartition(3)  # a sale's rows come to several tasks of a batch
+    states = drained_states(keyed.first_sales(stream, ["seq"]), tmp_path)
+    assert {s.operatorName for s in states} == {"dedupeWithinWatermark"}  # no state of Python, which takes calls for each key
+    got = spark.read.parquet(f"{tmp_path}/out").select("sale_id", "seq").collect()
+    assert sorted((int(i), s) for i, s in got) == [(i, i) for i in range(700)]
+
+
+def test_products_share_their_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKETS", 3)
+    schema = "product_id long, sale_date timestamp_ntz"
+    stream = batches(spark, str(tmp_path / "in"), schema, [(i, T0) for i in range(40)], [(1, T0 + timedelta(hours=9))], [(1, T0 + timedelta(hours=19))])
+    inventory = spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(None, 1, 1)], "product_id long, stock_qty int, restock_threshold int")
+    states = drained_states(keyed.stock_changes(stream, inventory), tmp_path)
+    levels = [s.numRowsTotal for s in states if s.operatorName.startswith("transformWithState")]
+    assert 0 < max(levels) <= 3  # one value for each bucket, not for each product
+    got = spark.read.parquet(f"{tmp_path}/out").select("product_id", "sold_qty", "stock_qty", "alert_no").collect()
+    assert sorted(map(tuple, got)) == sorted([(i, 1, 0, 1) for i in range(40)] + [(1, 1, 0, 2)])
+
+
 def test_stock_and_alerts(spark, tmp_path):
     sold = lambda product, *minutes: [(product, T0 + timedelta(minutes=m)) for m in minutes]
     schema = "product_id long, sale_date timestamp_ntz"
