@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from salesmart.session import materialize
 
+#: Spark's setting for deleting a query's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The whitespace of all text contracts, ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -40,12 +42,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``materialize``, after which the driver looks for shuffles that nothing refers to any more.
+    """``materialize``, with the files of the step's shuffles deleted as soon as it is written.
 
-    Executors keep the files of a finished step's shuffles until the driver collects its garbage, which a driver with
-    little to do seldom does: a chain of large steps would keep them all.
+    Executors would keep them until the driver has collected its garbage, which a driver with little to do seldom does, and
+    its cleaner has come to them: a chain of large steps would keep several steps' files at once.
     """
-    result = materialize(df)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        result = materialize(df)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return result

@@ -209,7 +209,8 @@ def _links(pairs: DataFrame, texts: DataFrame, words_each: int, percent: int) ->
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    likely = (
+    # Written before texts are fetched, so that the shuffles of prefixes and those of texts need not be kept at once.
+    likely = written(
         pairs.join(side("a", "n", "heads"), "a").join(side("b", "n", "heads"), "b")
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         .mapInArrow(screen, "a long, b long").distinct()
