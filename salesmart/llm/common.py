@@ -13,6 +13,8 @@ from salesmart.session import materialize
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The whitespace of all text contracts, ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
+#: Edges from which a round of ``components`` writes with another task.
+EDGES_EACH = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +75,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two exchanges of edges until nothing changes: every node hangs its larger neighbours on its smallest
     neighbour, then all its smaller neighbours and itself. Edges stay distributed and each step is written out, so a
     lost executor costs one step. A hub with very many edges is only ever aggregated (minimum, combined before
-    the shuffle) and joined, never gathered. Self edges are allowed; nulls are ignored.
+    the shuffle) and joined, never gathered. A round of few edges is written by few tasks, whatever the number of
+    partitions; neither exchange makes more edges than there were. Self edges are allowed; nulls are ignored.
     """
     current = materialize(
         edges.where("a is not null and b is not null")
@@ -91,13 +94,14 @@ def components(edges: DataFrame) -> DataFrame:
             both.where("v > u").join(low, "u").where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        large = materialize(large)
+        few = 1 + seen[0] // EDGES_EACH
+        large = materialize(large.coalesce(few))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        current = materialize(small)
+        current = materialize(small.coalesce(few))
         if (now := mark(current)) == seen:
             break
         seen = now
